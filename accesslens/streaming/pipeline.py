@@ -1,0 +1,83 @@
+"""All result tables kept up to date from a stream of lines."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from accesslens.functions.parse import parse_logs
+from accesslens.plans.partials import (
+    RESULT_TABLES,
+    partial_counts,
+    read_partials,
+    write_partials,
+)
+from accesslens.sources.tables import write_batch
+
+TRIGGER = {"processingTime": "10 seconds"}
+
+
+def batch_writer(root: str, parallel: int = 4) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes every table for a batch of logs.
+
+    The batch is read and parsed once, and kept only until it is reduced to its
+    partial counts. The result tables are computed from those counts, a few at a
+    time because each is small. Everything written belongs to the batch id, so a
+    batch that is retried after a failure replaces what it had written. A batch
+    without rows writes nothing.
+    """
+
+    def write(logs: DataFrame, batch_id: int) -> None:
+        spark = logs.sparkSession
+        logs.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if logs.isEmpty():
+                return
+            write_partials(partial_counts(logs), root, batch_id)
+        finally:
+            logs.unpersist()
+        partials = read_partials(spark, root, batch_id)
+
+        def write_table(table: str) -> None:
+            write_batch(RESULT_TABLES[table](partials), root, table, batch_id)
+
+        with ThreadPoolExecutor(parallel) as pool:
+            # Threads that inherit the query's job group, so that stopping it
+            # stops their jobs too.
+            list(pool.map(inheritable_thread_target(spark)(write_table), RESULT_TABLES))
+
+    return write
+
+
+def start_metrics(
+    lines: DataFrame,
+    root: str,
+    checkpoint: str,
+    style: str = "iso",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start writing the result tables of streaming ``lines`` below ``root``.
+
+    ``checkpoint`` records which input has been processed, so that a query
+    started again with it goes on where the last one ended.
+    """
+    return (
+        parse_logs(lines, style)
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or TRIGGER))
+        .foreachBatch(batch_writer(root))
+        .start()
+    )
+
+
+def run_available(query: StreamingQuery) -> None:
+    """Wait for a query started with ``availableNow`` and raise what it raised."""
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
