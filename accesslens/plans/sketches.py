@@ -15,7 +15,9 @@ from accesslens.functions import fields
 def daily_host_sketches(logs: DataFrame, grain: str = "date") -> DataFrame:
     """``day, hosts``: one sketch of the hosts of each day."""
     day = fields.day("time", grain).alias("day")
-    return logs.groupBy(day).agg(F.hll_sketch_agg("host").alias("hosts"))
+    # A sketch ignores '', which is a host like any other here.
+    host = F.concat(F.lit(":"), F.col("host"))
+    return logs.groupBy(day).agg(F.hll_sketch_agg(host).alias("hosts"))
 
 
 def estimate_daily_hosts(sketches: DataFrame) -> DataFrame:
