@@ -156,14 +156,17 @@ def daily_requests(logs: DataFrame, grain: str = "day_of_month") -> DataFrame:
 
 
 def average_requests(host_days: DataFrame) -> DataFrame:
-    """Requests, hosts and their ratio per day from ``host, day, requests`` rows."""
+    """Requests, hosts and their ratio per day from ``host, day, requests`` rows.
+
+    Rows without a day are left out by counting days: a filter on the day itself
+    would be moved down to the lines, where the time is parsed for it once more.
+    """
     return (
-        host_days.filter(F.col("day").isNotNull())
-        .groupBy("day")
+        host_days.groupBy("day")
         .agg(
-            F.sum("requests").alias("total_reqs"),
-            F.count(F.lit(1)).alias("total_hosts"),
+            F.sum("requests").alias("total_reqs"), F.count("day").alias("total_hosts")
         )
+        .filter(F.col("total_hosts") > 0)
         .withColumn("avg_reqs", F.col("total_reqs") / F.col("total_hosts"))
         .orderBy("day")
     )
@@ -187,13 +190,15 @@ def avg_daily_requests_per_host(
 
 def busiest_endpoint_by_weekday(logs: DataFrame) -> DataFrame:
     """For each known weekday, the endpoint requested most, with its count."""
-    counts = counted(
-        logs.filter(F.col("day_of_week") != UNKNOWN), "day_of_week", "endpoint"
-    )
+    # Unknown weekdays count for nothing, and are left out by that rather than by
+    # a filter that would be moved down to the lines and parse them once more.
+    known = F.count_if(F.col("day_of_week") != UNKNOWN).alias("count")
+    counts = logs.groupBy("day_of_week", "endpoint").agg(known)
     # Spark cuts to one row per weekday and task before it shuffles by weekday.
     rank = Window.partitionBy("day_of_week").orderBy(F.desc("count"), "endpoint")
     return (
-        counts.withColumn("rank", F.row_number().over(rank))
+        counts.filter(F.col("count") > 0)
+        .withColumn("rank", F.row_number().over(rank))
         .filter(F.col("rank") == 1)
         .drop("rank")
     )

@@ -21,7 +21,7 @@ from accesslens.sources.tables import write_batch
 TRIGGER = {"processingTime": "10 seconds"}
 
 
-def batch_writer(root: str, parallel: int = 4) -> Callable[[DataFrame, int], None]:
+def batch_writer(root: str, parallel: int = 8) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes every table for a batch of logs.
 
     The batch is read and parsed once, and kept only until it is reduced to its
@@ -33,10 +33,10 @@ def batch_writer(root: str, parallel: int = 4) -> Callable[[DataFrame, int], Non
 
     def write(logs: DataFrame, batch_id: int) -> None:
         spark = logs.sparkSession
+        if logs.isEmpty():  # reads one row and parses none
+            return
         logs.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if logs.isEmpty():
-                return
             write_partials(partial_counts(logs), root, batch_id)
         finally:
             logs.unpersist()
