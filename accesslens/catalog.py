@@ -169,6 +169,16 @@ def _on(table: Callable, operator: Callable, **options) -> Query:
     return query
 
 
+def _by_date(operator: Callable) -> Query:
+    """An analysis per date, over lines that span years; the date as text."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        result = operator(order_logs(spark, sf), grain="date")
+        return result.withColumn("day", F.col("day").cast("string"))
+
+    return query
+
+
 def content_size_stats(spark: SparkSession, sf: str) -> DataFrame:
     result = traffic.content_size_stats(clean_logs(spark, sf))
     return _rounded(result, "mean_content_size", "std_content_size")
@@ -357,12 +367,10 @@ QUERIES: dict[str, Query] = {
         clean_logs, traffic.avg_daily_requests_per_host
     ),
     "daily_unique_hosts_over_months": _on(order_logs, traffic.daily_unique_hosts),
-    "daily_unique_hosts_by_date": _on(
-        order_logs, traffic.daily_unique_hosts, grain="date"
-    ),
-    "daily_requests_by_date": _on(order_logs, traffic.daily_requests, grain="date"),
-    "avg_daily_requests_per_host_by_date": _on(
-        order_logs, traffic.avg_daily_requests_per_host, grain="date"
+    "daily_unique_hosts_by_date": _by_date(traffic.daily_unique_hosts),
+    "daily_requests_by_date": _by_date(traffic.daily_requests),
+    "avg_daily_requests_per_host_by_date": _by_date(
+        traffic.avg_daily_requests_per_host
     ),
     "busiest_endpoint_by_weekday": _on(
         clean_logs, traffic.busiest_endpoint_by_weekday

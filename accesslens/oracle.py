@@ -122,7 +122,7 @@ def _on_batches(select: str, batches: int = 4) -> str:
 
 
 _DAY = "CAST(dayofmonth(time) AS INTEGER)"
-_DATE = "CAST(time AS DATE)"
+_DATE = "CAST(CAST(time AS DATE) AS VARCHAR)"
 _SIZES = """min(content_size) AS min_content_size,
   max(content_size) AS max_content_size,
   round(avg(content_size), 4) AS mean_content_size,

@@ -30,6 +30,7 @@ def open_stream(
     topic: str | None = None,
     starting: str = "earliest",
     max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming ``value: string`` from a topic or from files that arrive.
 
@@ -37,7 +38,8 @@ def open_stream(
     connector on the class path. ``kind="text"`` reads text files that appear in
     ``path``; ``kind="parquet"`` reads ``column`` of Parquet files there.
     ``max_files`` and ``max_offsets`` bound a micro-batch; without them one
-    takes all there is.
+    takes all there is. ``min_partitions`` has more tasks read a topic than it
+    has partitions, by splitting those with most to read.
     """
     if kind == "kafka":
         reader = spark.readStream.format("kafka").options(
@@ -45,6 +47,8 @@ def open_stream(
         )
         if max_offsets:
             reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+        if min_partitions:
+            reader = reader.option("minPartitions", min_partitions)
         return reader.load().select(fields.decode("value").alias("value"))
     if kind not in ("text", "parquet"):
         raise ValueError(f"kind must be 'kafka', 'text' or 'parquet', not {kind!r}")

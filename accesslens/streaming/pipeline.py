@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -21,36 +20,40 @@ from accesslens.sources.tables import write_batch
 TRIGGER = {"processingTime": "10 seconds"}
 
 
-def batch_writer(root: str, parallel: int = 8) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes every table for a batch of logs.
+def write_results(
+    logs: DataFrame, root: str, batch_id: int, keep: bool = True, parallel: int = 8
+) -> None:
+    """Write every table for a batch of logs; a batch without rows writes nothing.
 
-    The batch is read and parsed once, and kept only until it is reduced to its
-    partial counts. The result tables are computed from those counts, a few at a
-    time because each is small. Everything written belongs to the batch id, so a
-    batch that is retried after a failure replaces what it had written. A batch
-    without rows writes nothing.
-    """
+    The batch is reduced to its partial counts, which are written, and the result
+    tables are computed from those, ``parallel`` at a time because each is small.
+    Everything written belongs to the batch id, so a batch that is retried after
+    a failure replaces what it had written.
 
-    def write(logs: DataFrame, batch_id: int) -> None:
-        spark = logs.sparkSession
-        if logs.isEmpty():  # reads one row and parses none
-            return
+    With ``keep`` the parsed rows are kept until the counts are written, so that
+    lines are read and parsed once. Logs that were landed as Parquet, such as
+    years of them in one batch, are better not kept: each count then reads only
+    its own columns.
+    """
+    spark = logs.sparkSession
+    if logs.isEmpty():  # reads one row and parses none
+        return
+    if keep:
         logs.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_partials(partial_counts(logs), root, batch_id)
-        finally:
+    try:
+        write_partials(partial_counts(logs), root, batch_id)
+    finally:
+        if keep:
             logs.unpersist()
-        partials = read_partials(spark, root, batch_id)
-
-        def write_table(table: str) -> None:
-            write_batch(RESULT_TABLES[table](partials), root, table, batch_id)
+    partials = read_partials(spark, root, batch_id)
 
-        with ThreadPoolExecutor(parallel) as pool:
-            # Threads that inherit the query's job group, so that stopping it
-            # stops their jobs too.
-            list(pool.map(inheritable_thread_target(spark)(write_table), RESULT_TABLES))
+    def write_table(table: str) -> None:
+        write_batch(RESULT_TABLES[table](partials), root, table, batch_id)
 
-    return write
+    with ThreadPoolExecutor(parallel) as pool:
+        # Threads that inherit the query's job group, so that stopping it stops
+        # their jobs too.
+        list(pool.map(inheritable_thread_target(spark)(write_table), RESULT_TABLES))
 
 
 def start_metrics(
@@ -70,7 +73,7 @@ def start_metrics(
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
-        .foreachBatch(batch_writer(root))
+        .foreachBatch(lambda logs, batch_id: write_results(logs, root, batch_id))
         .start()
     )
 

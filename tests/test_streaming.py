@@ -144,23 +144,22 @@ def test_rollup_leaves_out_missing_keys_and_sums_nothing_to_zero(spark):
 
 def test_a_batch_written_again_replaces_itself(spark, batch_logs):
     root = new_folder(spark, "twice")
-    write = pipeline.batch_writer(root)
-    write(batch_logs, 7)
+    pipeline.write_results(batch_logs, root, 7)
     first = {t: _rows(read_table(spark, root, t)) for t in exact.RESULT_TABLES}
-    write(batch_logs, 7)
+    pipeline.write_results(batch_logs, root, 7, keep=False)
     assert first == {t: _rows(read_table(spark, root, t)) for t in exact.RESULT_TABLES}
 
 
 def test_a_batch_without_rows_writes_nothing(spark, batch_logs):
     root = new_folder(spark, "empty")
-    pipeline.batch_writer(root)(batch_logs.filter("false"), 0)
+    pipeline.write_results(batch_logs.filter("false"), root, 0)
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_table(spark, root, "http_status")
 
 
 def test_nothing_stays_cached(spark, batch_logs):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    pipeline.batch_writer(new_folder(spark, "cache"))(batch_logs, 0)
+    pipeline.write_results(batch_logs, new_folder(spark, "cache"), 0)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
