@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,11 +33,16 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="accesslens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A folder all executors see: the one the cluster names for checkpoints.
 
-    Only a local session without the setting gets a temporary folder, which is
-    then set for the session so that later calls share it.
+    Only a local session without the setting gets a temporary folder, the same
+    one for the life of the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
@@ -44,9 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="accesslens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

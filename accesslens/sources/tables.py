@@ -41,13 +41,13 @@ def land_logs(logs: DataFrame, path: str, by_date: bool = False) -> None:
     """Write a parsed log table as Parquet, for when it is queried repeatedly.
 
     Queries then read only the columns they use and skip row groups by status,
-    instead of matching every line again. ``by_date`` makes one folder per date;
-    rows are brought together by date first, and a date with much more than the
-    others is spread over several tasks.
+    instead of matching every line again. What is at ``path`` is replaced.
+    ``by_date`` makes one folder per date; rows are brought together by date
+    first, and a date with much more than the others is spread over several tasks.
     """
     if by_date:
         logs = logs.withColumn("date", F.col("time").cast("date"))
         logs = logs.hint("rebalance", "date")
-        logs.write.partitionBy("date").parquet(path)
+        logs.write.mode("overwrite").partitionBy("date").parquet(path)
     else:
-        logs.write.parquet(path)
+        logs.write.mode("overwrite").parquet(path)

@@ -196,9 +196,6 @@ class _Cluster:
     def get(self, key, default):
         return self.settings.get(key, default)
 
-    def set(self, key, value):
-        self.settings[key] = value
-
     def getCheckpointDir(self):
         return self.folder
 
