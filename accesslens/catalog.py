@@ -23,7 +23,7 @@ from accesslens.sources.samples import event_lines, order_lines
 from accesslens.sources.streams import open_stream
 from accesslens.sources.tables import read_table, write_batch
 from accesslens.sources.text import read_lines, write_lines
-from accesslens.streaming import pipeline, replay, stateful
+from accesslens.streaming import replay, results, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -202,12 +202,12 @@ def _deliver_and_run(
     """Deliver the lines in batches, starting the query again after each one."""
     for ids in replay.batch_ranges(_events(spark, sf), "event_id", runs):
         replay.deliver(_batch(spark, sf, ids), f"{folder}/lines")
-        pipeline.run_available(start(open_stream(spark, "text", path=f"{folder}/lines")))
+        results.run_available(start(open_stream(spark, "text", path=f"{folder}/lines")))
 
 
 def _start_metrics(folder: str) -> Callable:
     def start(stream: DataFrame):
-        return pipeline.start_metrics(
+        return results.start_metrics(
             stream, f"{folder}/results", f"{folder}/checkpoint", trigger=AVAILABLE
         )
 
@@ -248,7 +248,7 @@ def stream_source_lines(spark: SparkSession, sf: str) -> DataFrame:
         .trigger(**AVAILABLE)
         .start(f"{folder}/lines")
     )
-    pipeline.run_available(query)
+    results.run_available(query)
     return spark.read.parquet(f"{folder}/lines")
 
 
@@ -257,7 +257,7 @@ def stream_resume_from_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "resume")
     start = _start_metrics(folder)
     _deliver_and_run(spark, sf, folder, start, runs=2)
-    pipeline.run_available(start(open_stream(spark, "text", path=f"{folder}/lines")))
+    results.run_available(start(open_stream(spark, "text", path=f"{folder}/lines")))
     hours = read_table(spark, f"{folder}/results", "hours")
     return hours.groupBy("batch_id").agg(F.sum("requests").alias("requests"))
 

@@ -20,7 +20,7 @@ from accesslens.session import build_session
 from accesslens.sources.streams import open_stream, publish_lines
 from accesslens.sources.tables import land_logs
 from accesslens.sources.text import read_lines
-from accesslens.streaming.pipeline import start_metrics
+from accesslens.streaming.results import start_metrics
 
 
 def run_batch(spark: SparkSession, lines: DataFrame, root: str) -> None:

@@ -59,20 +59,23 @@ def partial_counts(logs: DataFrame) -> Partials:
     return Partials(hours, host_days, endpoints)
 
 
-def write_partials(partials: Partials, root: str, batch_id: int) -> None:
+def write_partials(
+    spark: SparkSession, partials: Partials, root: str, batch_id: int
+) -> Partials:
+    """Write the counts of a batch; returns them as written, not to be redone."""
+    written = {}
     for member in members(Partials):
-        write_batch(getattr(partials, member.name), root, member.name, batch_id)
+        counts = getattr(partials, member.name)
+        write_batch(counts, root, member.name, batch_id)
+        written[member.name] = read_batch(
+            spark, root, member.name, batch_id, counts.schema
+        )
+    return Partials(**written)
 
 
-def read_partials(
-    spark: SparkSession, root: str, batch_id: int | None = None
-) -> Partials:
-    """Counts of one batch, or of all batches."""
-    if batch_id is None:
-        return Partials(*[read_table(spark, root, m.name) for m in members(Partials)])
-    return Partials(
-        *[read_batch(spark, root, m.name, batch_id) for m in members(Partials)]
-    )
+def read_partials(spark: SparkSession, root: str) -> Partials:
+    """Counts of all batches."""
+    return Partials(*[read_table(spark, root, m.name) for m in members(Partials)])
 
 
 def _summed(rows: DataFrame, *keys: Column | str, value: str = "requests") -> DataFrame:

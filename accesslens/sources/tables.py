@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_batch(result: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -16,10 +17,18 @@ def write_batch(result: DataFrame, root: str, table: str, batch_id: int) -> None
 
 
 def read_batch(
-    spark: SparkSession, root: str, table: str, batch_id: int
+    spark: SparkSession,
+    root: str,
+    table: str,
+    batch_id: int,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """The rows one batch added to a result table."""
-    return spark.read.parquet(f"{root}/{table}/batch_id={batch_id}")
+    """The rows one batch added to a result table.
+
+    A ``schema`` that is known saves a look into the files.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -12,7 +12,6 @@ from accesslens.functions.parse import parse_logs
 from accesslens.plans.partials import (
     RESULT_TABLES,
     partial_counts,
-    read_partials,
     write_partials,
 )
 from accesslens.sources.tables import write_batch
@@ -41,11 +40,10 @@ def write_results(
     if keep:
         logs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_partials(partial_counts(logs), root, batch_id)
+        partials = write_partials(spark, partial_counts(logs), root, batch_id)
     finally:
         if keep:
             logs.unpersist()
-    partials = read_partials(spark, root, batch_id)
 
     def write_table(table: str) -> None:
         write_batch(RESULT_TABLES[table](partials), root, table, batch_id)

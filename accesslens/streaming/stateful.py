@@ -17,7 +17,7 @@ from accesslens.functions import fields
 from accesslens.operators.not_found import NOT_FOUND
 from accesslens.operators.traffic import counted
 from accesslens.sources.tables import latest_batch, read_table, write_batch
-from accesslens.streaming.pipeline import TRIGGER
+from accesslens.streaming.results import TRIGGER
 
 STATUS_TOTALS = "status_totals"
 HOURLY_TOTALS = "hourly_totals"

@@ -15,7 +15,7 @@ from accesslens.plans import rollup, sketches
 from accesslens.session import new_folder
 from accesslens.sources.streams import kafka_options, open_stream, publish_lines
 from accesslens.sources.tables import read_batch, read_table, write_batch
-from accesslens.streaming import pipeline, replay, stateful
+from accesslens.streaming import replay, results, stateful
 
 
 def _rows(df):
@@ -35,7 +35,7 @@ def slices(all_lines):
 
 def _start(spark, folder, **options):
     stream = open_stream(spark, "text", path=f"{folder}/lines", **options)
-    return pipeline.start_metrics(
+    return results.start_metrics(
         stream, f"{folder}/results", f"{folder}/checkpoint", trigger=AVAILABLE
     )
 
@@ -45,7 +45,7 @@ def run(spark, slices):
     folder = new_folder(spark, "run")
     for part in slices:
         replay.deliver(part, f"{folder}/lines")
-        pipeline.run_available(_start(spark, folder))
+        results.run_available(_start(spark, folder))
     return folder
 
 
@@ -144,29 +144,29 @@ def test_rollup_leaves_out_missing_keys_and_sums_nothing_to_zero(spark):
 
 def test_a_batch_written_again_replaces_itself(spark, batch_logs):
     root = new_folder(spark, "twice")
-    pipeline.write_results(batch_logs, root, 7)
+    results.write_results(batch_logs, root, 7)
     first = {t: _rows(read_table(spark, root, t)) for t in exact.RESULT_TABLES}
-    pipeline.write_results(batch_logs, root, 7, keep=False)
+    results.write_results(batch_logs, root, 7, keep=False)
     assert first == {t: _rows(read_table(spark, root, t)) for t in exact.RESULT_TABLES}
 
 
 def test_a_batch_without_rows_writes_nothing(spark, batch_logs):
     root = new_folder(spark, "empty")
-    pipeline.write_results(batch_logs.filter("false"), root, 0)
+    results.write_results(batch_logs.filter("false"), root, 0)
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_table(spark, root, "http_status")
 
 
 def test_nothing_stays_cached(spark, batch_logs):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    pipeline.write_results(batch_logs, new_folder(spark, "cache"), 0)
+    results.write_results(batch_logs, new_folder(spark, "cache"), 0)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_failed_batch_is_repeated_after_restart(spark, slices, monkeypatch):
     folder = new_folder(spark, "failure")
     replay.deliver(slices[0], f"{folder}/lines")
-    pipeline.run_available(_start(spark, folder))
+    results.run_available(_start(spark, folder))
     replay.deliver(slices[1], f"{folder}/lines")
 
     real = exact.RESULT_TABLES["unique_hosts"]
@@ -177,14 +177,14 @@ def test_failed_batch_is_repeated_after_restart(spark, slices, monkeypatch):
     # Some tables of the batch are written, one fails, and so does the query.
     monkeypatch.setitem(exact.RESULT_TABLES, "unique_hosts", fails)
     with pytest.raises(StreamingQueryException, match="lost"):
-        pipeline.run_available(_start(spark, folder))
+        results.run_available(_start(spark, folder))
     monkeypatch.setitem(exact.RESULT_TABLES, "unique_hosts", real)
 
     query = _start(spark, folder)
-    pipeline.run_available(query)
+    results.run_available(query)
     assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [1]
     query = _start(spark, folder)
-    pipeline.run_available(query)
+    results.run_available(query)
     assert [p for p in query.recentProgress if p["numInputRows"]] == []
 
     root = f"{folder}/results"
@@ -201,8 +201,8 @@ def test_failed_batch_is_repeated_after_restart(spark, slices, monkeypatch):
 def test_bounded_batches_give_the_same_totals(spark, run, batch_logs):
     folder = new_folder(spark, "bounded")
     stream = open_stream(spark, "text", path=f"{run}/lines", max_files=1)
-    pipeline.run_available(
-        pipeline.start_metrics(
+    results.run_available(
+        results.start_metrics(
             stream, f"{folder}/results", f"{folder}/checkpoint", trigger=AVAILABLE
         )
     )
@@ -225,7 +225,7 @@ def test_parquet_stream_of_bytes(spark, slices):
         .trigger(**AVAILABLE)
         .start(f"{folder}/out")
     )
-    pipeline.run_available(query)
+    results.run_available(query)
     assert _rows(spark.read.parquet(f"{folder}/out")) == _rows(slices[0].select("value"))
 
 
@@ -255,7 +255,7 @@ def test_hours_with_late_requests(spark):
         )
         replay.deliver(table, f"{folder}/lines")
         stream = open_stream(spark, "text", path=f"{folder}/lines")
-        pipeline.run_available(
+        results.run_available(
             stateful.start_hourly_totals(
                 parse_logs(stream, "iso"), folder, f"{folder}/checkpoint",
                 delay="2 hours", trigger=AVAILABLE,
