@@ -157,6 +157,17 @@ def test_a_batch_without_rows_writes_nothing(spark, batch_logs):
         read_table(spark, root, "http_status")
 
 
+def test_an_empty_file_is_a_batch_without_rows(spark, slices):
+    folder = new_folder(spark, "empty")
+    for part in (slices[0], slices[0].filter("false"), slices[1]):
+        replay.deliver(part, f"{folder}/lines")
+        results.run_available(_start(spark, folder))
+    hours = read_table(spark, f"{folder}/results", "hours")
+    per_batch = hours.groupBy("batch_id").agg(F.sum("requests")).collect()
+    counts = [part.count() for part in slices[:2]]
+    assert [n for _, n in sorted(map(tuple, per_batch))] == counts
+
+
 def test_nothing_stays_cached(spark, batch_logs):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     results.write_results(batch_logs, new_folder(spark, "cache"), 0)
