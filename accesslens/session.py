@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,25 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a folder below the shared one that nothing else uses."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, as ``--py-files`` would.
+
+    For sessions that were started without it: the package is zipped once for each
+    application and handed to Spark, whose file server gives it to every executor,
+    also those that start later.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
