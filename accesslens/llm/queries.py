@@ -8,17 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.llm import binary_records, compression_bands, pattern_packing
+from accesslens.llm import (
+    binary_records,
+    compression_bands,
+    pattern_packing,
+    text_density,
+    weighted_sampling,
+)
 from accesslens.llm.common import required
 from accesslens.llm.tokens import vocabulary
-from accesslens.session import new_folder
+from accesslens.session import new_folder, ship_package
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
@@ -37,6 +45,14 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_density.extract(pages(spark, sf_dir))
+
+
+def op5_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = required(documents(spark, sf_dir), ["doc_id", "text"])
     measured = compression_bands.with_measures(docs, "quality")
@@ -46,5 +62,7 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_binary_records": op2_binary_records,
     "op3_pattern_packing": op3_pattern_packing,
+    "op4_text_density": op4_text_density,
+    "op5_weighted_sampling": op5_weighted_sampling,
     "op6_compression_bands": op6_compression_bands,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.llm import compression_bands
 from accesslens.llm.common import written
+from accesslens.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +29,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written and read again."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
