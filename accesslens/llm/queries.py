@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accesslens.llm import (
     binary_records,
     compression_bands,
+    order_minhash,
     pattern_packing,
     text_density,
     weighted_sampling,
@@ -30,6 +31,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents' token ids as records and reads them back."""
     folder = new_folder(spark, "llm-records")
@@ -60,6 +65,7 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_binary_records": op2_binary_records,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_text_density": op4_text_density,
