@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from accesslens.llm import (
     binary_records,
     compression_bands,
+    flow_mixing,
+    line_neighbourhood,
     order_minhash,
     pattern_packing,
     text_density,
@@ -64,6 +66,16 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", "quality.*")
 
 
+def op8_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flow_mixing.mix_report(documents(spark, sf_dir))
+
+
+def op10_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's number of lines, of removed ones, and the text that stays."""
+    docs = required(documents(spark, sf_dir), ["doc_id", "text"])
+    return line_neighbourhood.deduplicate_lines(docs, counts=True)
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_binary_records": op2_binary_records,
@@ -71,4 +83,6 @@ QUERIES = {
     "op4_text_density": op4_text_density,
     "op5_weighted_sampling": op5_weighted_sampling,
     "op6_compression_bands": op6_compression_bands,
+    "op8_flow_mixing": op8_flow_mixing,
+    "op10_line_neighbourhood": op10_line_neighbourhood,
 }

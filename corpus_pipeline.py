@@ -8,19 +8,60 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from accesslens.llm import compression_bands
-from accesslens.llm.common import written
+from accesslens.llm import (
+    compression_bands,
+    flow_mixing,
+    line_neighbourhood,
+    order_minhash,
+    pattern_packing,
+)
+from accesslens.llm.common import n_words, written
+from accesslens.llm.tokens import vocabulary
 from accesslens.session import ship_package
 
+MAX_TOKENS, END_ID = 4096, 1
+WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression bands and base rules keep."""
     return compression_bands.reject(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that came earlier; those left without words go."""
+    cleaned = line_neighbourhood.deduplicate_lines(docs)
+    if "n_chars" in docs.columns:
+        n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", n_chars)
+    return cleaned.where(n_words(F.col("text")) > 0)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return order_minhash.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    quotas = flow_mixing.source_quotas(WEIGHTS, SHARE, MOST)
+    return flow_mixing.mix(docs, quotas, repeats=int(MOST))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    words = vocabulary("word_bpe_49k.json")
+    return pattern_packing.pack_documents(docs, words, MAX_TOKENS, END_ID)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality),
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near-dedup", near_duplicates),
+    ("source mix", mixture),
+    ("packing", packing),
 ]
 
 #: Compression can't be expressed in SQL; tests hold the rows against brute force.
@@ -32,7 +73,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
 
 
