@@ -6,7 +6,8 @@ the columns of its result from the operator's own output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accesslens.llm import (
     binary_records,
@@ -15,7 +16,9 @@ from accesslens.llm import (
     line_neighbourhood,
     order_minhash,
     pattern_packing,
+    span_boosting,
     text_density,
+    url_boosting,
     weighted_sampling,
 )
 from accesslens.llm.common import required
@@ -66,10 +69,33 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", "quality.*")
 
 
+def op7_url_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_boosting.judge(pages(spark, sf_dir))
+
+
 def op8_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow_mixing.mix_report(documents(spark, sf_dir))
 
 
+def op9_span_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and digest of the base spans, and all spans, of each document."""
+    found = span_boosting.find_spans(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in span_boosting.KINDS]
+    digest = F.sha2(listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
+
+
 def op10_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's number of lines, of removed ones, and the text that stays."""
     docs = required(documents(spark, sf_dir), ["doc_id", "text"])
@@ -83,6 +109,8 @@ QUERIES = {
     "op4_text_density": op4_text_density,
     "op5_weighted_sampling": op5_weighted_sampling,
     "op6_compression_bands": op6_compression_bands,
+    "op7_url_boosting": op7_url_boosting,
     "op8_flow_mixing": op8_flow_mixing,
+    "op9_span_boosting": op9_span_boosting,
     "op10_line_neighbourhood": op10_line_neighbourhood,
 }
