@@ -39,7 +39,7 @@ K = 5
 ENTRIES = 32
 LENGTH = 6
 THRESHOLD = 0.8
-ROUNDS = 8
+ROUNDS = 6
 
 # Multipliers and shifts of a well-known 64-bit mixing function.
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -326,28 +326,30 @@ def links(found: DataFrame, documents: DataFrame, threshold: float, rounds: int)
     texts = texts.join(degrees, "node").dropDuplicates(["node"]).select("node", "text")
     texts = written(texts, "texts")
     left = written(active.join(degrees, "node").select("key", "node", "degree"), "round")
+    low, high = F.least("hub", "node").alias("low"), F.greatest("hub", "node").alias("high")
     results = []
     for _ in range(rounds):
         hubs = left.groupBy("key").agg(
             F.max(F.struct("degree", "node"))["node"].alias("hub"), F.count("*").alias("n")
         )
         compared = left.join(hubs.where("n > 1").drop("n"), "key").where("node <> hub")
-        pairs = compared.select("hub", "node").distinct()
-        for result in results:
-            pairs = pairs.join(result, ["hub", "node"], "left_anti")
-            turned = result.select(F.col("hub").alias("node"), F.col("node").alias("hub"))
-            pairs = pairs.join(turned, ["hub", "node"], "left_anti")
-        results.append(written(verified(pairs, texts, threshold), "verified"))
-        alike = reduce(DataFrame.unionByName, results).where("alike")
-        alike = alike.select("hub", "node").unionByName(
-            alike.select(F.col("node").alias("hub"), F.col("hub").alias("node"))
-        )
-        left = compared.join(alike.distinct(), ["hub", "node"], "left_anti")
+        compared = compared.select("key", "node", "degree", low, high)
+        pairs = compared.select("low", "high").distinct()
+        if results:
+            pairs = pairs.join(_all(results), ["low", "high"], "left_anti")
+        pairs = pairs.toDF("hub", "node")
+        found = verified(pairs, texts, threshold).select(low, high, "alike")
+        results.append(written(found, "verified"))
+        alike = _all(results).where("alike").select("low", "high")
+        left = compared.join(alike, ["low", "high"], "left_anti")
         left = written(left.select("key", "node", "degree"), "round")
         if left.isEmpty():
             break
-    found = reduce(DataFrame.unionByName, results).where("alike")
-    return found.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    return _all(results).where("alike").select(F.col("low").alias("u"), F.col("high").alias("v"))
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def _classes(documents, entries, length, threshold, rounds) -> tuple[DataFrame, DataFrame]:
