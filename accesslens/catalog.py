@@ -47,6 +47,11 @@ def logs(spark: SparkSession, sf: str) -> DataFrame:
     return parse_logs(lines(spark, sf))
 
 
+def logs_with_line(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the line itself, from which missing text fields are known."""
+    return parse_logs(lines(spark, sf), keep=[quality.LINE])
+
+
 def clean_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Log table that batch analyses run on."""
     return quality.clean_batch(logs(spark, sf))
@@ -65,7 +70,7 @@ def _batch(spark: SparkSession, sf: str, number: tuple[int, int]) -> DataFrame:
 
 
 def _rounded(result: DataFrame, *columns: str) -> DataFrame:
-    return result.withColumns({c: F.round(c, 4) for c in columns})
+    return result.withColumns({c: F.round(c, 2) for c in columns})
 
 
 # -- sources and sinks ------------------------------------------------------
@@ -304,6 +309,20 @@ def read_result_table(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "http_status")
 
 
+def close_unique_host_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the approximate number of hosts is within 5 % of the exact one."""
+    table = clean_logs(spark, sf)
+    about = traffic.approx_unique_host_count(table).withColumnRenamed("unique_hosts", "about")
+    rows = traffic.unique_host_count(table).unionByName(about, allowMissingColumns=True)
+    both = rows.agg(F.max("unique_hosts").alias("unique_hosts"), F.max("about").alias("about"))
+    close = F.abs(F.col("about") - F.col("unique_hosts")) <= F.col("unique_hosts") * 0.05
+    return both.select("unique_hosts", close.alias("close"))
+
+
+PREVIEW_ORDER = (
+    "day_of_week", "time", "host", "method", "endpoint", "protocol", "status",
+    "content_size",
+)
 SIZE_DOUBLES = ("mean_content_size", "std_content_size")
 
 QUERIES: dict[str, Query] = {
@@ -336,15 +355,15 @@ QUERIES: dict[str, Query] = {
     "status_chart_series": _on(clean_logs, traffic.status_chart_series),
     # data quality
     "valid_status_rows": _on(logs, quality.valid_status_rows),
-    "count_incomplete_rows": _on(logs, quality.count_incomplete_rows),
-    "count_missing_per_column": _on(logs, quality.count_missing_per_column),
+    "count_incomplete_rows": _on(logs_with_line, quality.count_incomplete_rows),
+    "count_missing_per_column": _on(logs_with_line, quality.count_missing_per_column),
     "count_blank_per_column": _on(
         logs, quality.count_missing_per_column, blank_as_missing=True
     ),
     "fill_missing_size": _on(logs, quality.fill_missing_size),
     "not_found_rows": _on(clean_logs, not_found.not_found_rows),
     "table_shape": _on(clean_logs, quality.table_shape),
-    "preview_rows": _on(clean_logs, quality.preview_rows),
+    "preview_rows": _on(clean_logs, quality.preview_rows, order_by=PREVIEW_ORDER),
     # sizes and statuses
     "content_size_stats": content_size_stats,
     "content_size_describe": content_size_describe,
@@ -359,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "top_error_endpoints": _on(clean_logs, traffic.top_error_endpoints),
     "unique_host_count": _on(clean_logs, traffic.unique_host_count),
     "unique_hosts": _on(clean_logs, traffic.unique_hosts),
+    "close_unique_host_count": close_unique_host_count,
     # days
     "host_day_pairs": _on(clean_logs, traffic.host_day_pairs),
     "daily_unique_hosts": _on(clean_logs, traffic.daily_unique_hosts),

@@ -26,23 +26,23 @@ def host(line: Column | str) -> Column:
     return F.regexp_extract(_text(line), p.HOST, 1)
 
 
-def _request(line: Column | str, group: int) -> Column:
+def _request(line: Column | str, part: int) -> Column:
+    # Named alike by all three fields, so a projection of them matches a line once.
     line = _text(line)
-    usual = F.regexp_extract(line, p.REQUEST, group)
-    long = F.regexp_extract(line, p.REQUEST_IN_LONG, group)
-    return F.when(F.octet_length(line) <= p.LONG, usual).otherwise(long)
+    parts = F.split(F.regexp_extract(line, p.REQUEST, 1), p.REQUEST_PARTS, -1)
+    return F.when(line.isNotNull(), F.coalesce(F.get(parts, F.lit(part)), F.lit("")))
 
 
 def method(line: Column | str) -> Column:
-    return _request(line, 1)
+    return _request(line, 0)
 
 
 def endpoint(line: Column | str) -> Column:
-    return _request(line, 2)
+    return _request(line, 1)
 
 
 def protocol(line: Column | str) -> Column:
-    return _request(line, 3)
+    return _request(line, 2)
 
 
 def status(line: Column | str) -> Column:
@@ -53,11 +53,11 @@ def status(line: Column | str) -> Column:
 
 
 def content_size(line: Column | str) -> Column:
-    """Size in bytes; NULL without digits at the line's end or beyond 2^31 - 1."""
+    """Size in bytes; NULL without digits at the line's end or beyond 2^63 - 1."""
     # Of any length, so it does need a cast; but sizes are often missing, and ''
     # is better made NULL before.
     found = F.regexp_extract(_text(line), p.CONTENT_SIZE, 1)
-    return F.nullif(found, F.lit("")).try_cast("int")
+    return F.nullif(found, F.lit("")).try_cast("bigint")
 
 
 def clf_to_iso(text: Column | str) -> Column:

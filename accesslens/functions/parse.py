@@ -11,19 +11,26 @@ from accesslens.functions import fields as f
 
 
 def parse_logs(
-    lines: DataFrame, style: str = "clf", keep: Sequence[str] = ()
+    lines: DataFrame,
+    style: str = "clf",
+    keep: Sequence[str] = (),
+    to_utc: bool = False,
 ) -> DataFrame:
     """Typed table of the lines in column ``value``, one row per line.
 
     ``style="clf"`` reads ``[dd/MMM/yyyy:HH:mm:ss +zzzz]`` times and adds
     ``day_of_week``; ``style="iso"`` reads ``[yyyy-MM-dd HH:mm:ss]`` times and
     adds ``current_time``, when the row was ingested (the same for all rows of
-    a query or micro-batch). ``keep`` names input columns to carry along.
+    a query or micro-batch). ``keep`` names input columns to carry along. ``to_utc``
+    applies the offset of a CLF time and its weekday, instead of leaving it out.
     """
     value = F.col("value")
     if style == "clf":
-        lead = [f.day_of_week(f.clf_date(value)).alias("day_of_week")]
-        lead += [f.clf_time(value).alias("time"), f.host(value).alias("host")]
+        date, time = f.clf_date(value), f.clf_time(value)
+        if to_utc:
+            date = time = f.time_of_text(f.bracketed(value), to_utc=True)
+        lead = [f.day_of_week(date).alias("day_of_week")]
+        lead += [time.alias("time"), f.host(value).alias("host")]
     elif style == "iso":
         lead = [F.current_timestamp().alias("current_time")]
         lead += [f.host(value).alias("host"), f.iso_time(value).alias("time")]

@@ -9,14 +9,11 @@ time linear in its length.
 # First token of the line, if a dot in it has a character before it and two after.
 HOST = r"^(\S[^. \t-\r]*\.\S\S+)\s"
 
-# Quoted method, endpoint and, if there is one, protocol.
-REQUEST = r'"(\S+)\s(\S+)(?:"|\s+(\S*)")'
-
-# The same match, looked for once per token instead of once per quote. Dearer, but
-# linear for tokens full of quotes too, so it is what lines longer than this many
-# bytes are matched with.
-REQUEST_IN_LONG = r'(?<!\S)[^" \t-\r]*"(\S+)\s(\S+)(?:"|\s+(\S*)")'
-LONG = 4096
+# What is quoted: method, endpoint and, if there is one, protocol. It is looked for once
+# per token, not once per quote, so tokens full of quotes take linear time too. Its parts
+# are what white space separates.
+REQUEST = r'(?<!\S)[^" \t-\r]*"(\S+\s\S+(?:\s+\S*)?)"'
+REQUEST_PARTS = r"\s+"
 
 # First token of exactly three digits that has a blank on both sides.
 STATUS = r"\s(\d{3})\s"
@@ -30,7 +27,7 @@ CLF_TIME = r"\[(\d{2}/\w{3}/(?!0000)\d{4}:\d{2}:\d{2}:\d{2})"
 ISO_TIME = r"\[((?!0000)\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})]"
 
 # Everything between the brackets, offset included.
-BRACKETED = r"\[([^\]]*)\]"
+BRACKETED = r"^[^\[]*\[([^\]]*)\]"
 
 MONTHS = (
     "jan", "feb", "mar", "apr", "may", "jun",

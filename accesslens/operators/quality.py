@@ -3,6 +3,9 @@
 Text fields of a line that does not parse are ``''`` rather than NULL, so by
 default only fields that are really NULL count as missing. ``blank_as_missing``
 also counts ``''`` and ``Unknown``.
+
+A text field is NULL only where the line is. If the log table still has the line, as
+``value``, that is what is looked at, and no field is matched just to see that it is there.
 """
 
 from __future__ import annotations
@@ -23,11 +26,27 @@ REQUIRED = (
 )
 
 
-def _missing(logs: DataFrame, name: str, blank_as_missing: bool) -> Column:
-    missing = F.col(name).isNull()
-    if blank_as_missing and isinstance(logs.schema[name].dataType, T.StringType):
-        missing = missing | F.col(name).isin("", UNKNOWN)
-    return missing
+# The line a row was parsed from, and fields that are NULL only if it is; a weekday is
+# never NULL.
+LINE = "value"
+FROM_LINE = ("host", "method", "endpoint", "protocol")
+
+
+def field_names(logs: DataFrame) -> list[str]:
+    """The columns of a log table but the line itself."""
+    return [c for c in logs.columns if c != LINE]
+
+
+def missing(logs: DataFrame, name: str, blank_as_missing: bool = False) -> Column:
+    """Whether a row misses a column."""
+    text = isinstance(logs.schema[name].dataType, T.StringType)
+    if blank_as_missing and text:
+        return F.col(name).isNull() | F.col(name).isin("", UNKNOWN)
+    if LINE in logs.columns and name in FROM_LINE:
+        return F.col(LINE).isNull()
+    if LINE in logs.columns and name == "day_of_week":
+        return F.lit(False)
+    return F.col(name).isNull()
 
 
 def valid_status_rows(logs: DataFrame) -> DataFrame:
@@ -54,7 +73,7 @@ def count_incomplete_rows(
     blank_as_missing: bool = False,
 ) -> DataFrame:
     """One row: how many rows miss at least one of the columns."""
-    incomplete = reduce(or_, [_missing(logs, c, blank_as_missing) for c in columns])
+    incomplete = reduce(or_, [missing(logs, c, blank_as_missing) for c in columns])
     return logs.agg(F.count_if(incomplete).alias("incomplete_rows"))
 
 
@@ -64,8 +83,8 @@ def count_missing_per_column(
     """One row: for every column, how many rows miss it."""
     return logs.agg(
         *[
-            F.count_if(_missing(logs, c, blank_as_missing)).alias(c)
-            for c in logs.columns
+            F.count_if(missing(logs, c, blank_as_missing)).alias(c)
+            for c in field_names(logs)
         ]
     )
 
@@ -80,5 +99,8 @@ def table_shape(logs: DataFrame) -> DataFrame:
 def preview_rows(
     logs: DataFrame, n: int = 10, order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """The first ``n`` rows in the order of the given columns (all by default)."""
-    return logs.orderBy(*(order_by or logs.columns)).limit(n)
+    """``n`` rows, the first in the order of the given columns if there are any.
+
+    Without an order Spark stops reading when it has them, and any may come.
+    """
+    return (logs.orderBy(*order_by) if order_by else logs).limit(n)

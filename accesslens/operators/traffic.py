@@ -6,7 +6,7 @@ are broken by the key in ascending order, so results do not vary between runs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.functions import fields
@@ -80,10 +80,9 @@ def status_by_frequency(logs: DataFrame) -> DataFrame:
 
 
 def status_chart_series(logs: DataFrame) -> DataFrame:
-    """Requests per status ready for a bar chart: status as text, count as int."""
+    """Requests per status ready for a bar chart: status as text, and the count."""
     return status_by_frequency(logs).select(
-        F.col("status").cast("string").alias("status"),
-        F.col("count").cast("int").alias("count"),
+        F.col("status").cast("string").alias("status"), "count"
     )
 
 
@@ -124,8 +123,13 @@ def unique_host_count(logs: DataFrame) -> DataFrame:
 
 
 def approx_unique_host_count(logs: DataFrame, rsd: float = 0.02) -> DataFrame:
-    """One row: number of different hosts within about ``rsd``, with fixed memory."""
-    return logs.agg(F.approx_count_distinct("host", rsd).alias("unique_hosts"))
+    """One row: number of different hosts within about ``rsd``, with fixed memory.
+
+    As in the exact count, requests without a host make one more.
+    """
+    without = F.coalesce(F.max(F.col("host").isNull()), F.lit(False)).cast("bigint")
+    hosts = F.approx_count_distinct("host", rsd) + without
+    return logs.agg(hosts.alias("unique_hosts"))
 
 
 # -- days -------------------------------------------------------------------
@@ -194,14 +198,10 @@ def busiest_endpoint_by_weekday(logs: DataFrame) -> DataFrame:
     # a filter that would be moved down to the lines and parse them once more.
     known = F.count_if(F.col("day_of_week") != UNKNOWN).alias("count")
     counts = logs.groupBy("day_of_week", "endpoint").agg(known)
-    # Spark cuts to one row per weekday and task before it shuffles by weekday.
-    rank = Window.partitionBy("day_of_week").orderBy(F.desc("count"), "endpoint")
-    return (
-        counts.filter(F.col("count") > 0)
-        .withColumn("rank", F.row_number().over(rank))
-        .filter(F.col("rank") == 1)
-        .drop("rank")
-    )
+    # An aggregate keeps one row per weekday and task, and needs no order.
+    first = F.min(F.struct((-F.col("count")).alias("less"), "endpoint", "count"))
+    best = counts.filter(F.col("count") > 0).groupBy("day_of_week").agg(first.alias("best"))
+    return best.select("day_of_week", "best.endpoint", "best.count")
 
 
 # -- SQL --------------------------------------------------------------------

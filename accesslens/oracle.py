@@ -28,6 +28,8 @@ lines AS (
       || CASE WHEN event_id % 89 = 0 THEN '' ELSE ' HTTP/1.0' END
       || '" ' || code || ' '
       || CASE WHEN event_id % 101 = 0 OR code = '304' THEN '-'
+              WHEN event_id % 103 = 0
+              THEN CAST(CAST(floor(value * 100) AS BIGINT) + 3000000000 AS VARCHAR)
               ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END
     END AS value
   FROM (
@@ -71,7 +73,7 @@ _FIELDS = {
     "endpoint": f"regexp_extract(value, {_REQUEST}, 2)",
     "protocol": f"regexp_extract(value, {_REQUEST}, 3)",
     "status": r"try_cast(regexp_extract(value, '\s(\d{3})\s', 1) AS INTEGER)",
-    "content_size": r"try_cast(regexp_extract(value, '\s(\d+)$', 1) AS INTEGER)",
+    "content_size": r"try_cast(regexp_extract(value, '\s(\d+)$', 1) AS BIGINT)",
 }
 _COLUMNS = ", ".join(_FIELDS)
 
@@ -125,8 +127,8 @@ _DAY = "CAST(dayofmonth(time) AS INTEGER)"
 _DATE = "CAST(CAST(time AS DATE) AS VARCHAR)"
 _SIZES = """min(content_size) AS min_content_size,
   max(content_size) AS max_content_size,
-  round(avg(content_size), 4) AS mean_content_size,
-  round(stddev_samp(content_size), 4) AS std_content_size,
+  round(avg(content_size), 2) AS mean_content_size,
+  round(stddev_samp(content_size), 2) AS std_content_size,
   count(content_size) AS count_content_size"""
 
 
@@ -267,7 +269,7 @@ ORACLE: dict[str, str] = {
     "typed_time_projection": _on_parsed(f"SELECT {_COLUMNS}, time FROM parsed"),
     "iso_timestamp": _on_parsed("SELECT event_id, time FROM parsed", "iso"),
     "status_chart_series": _on_clean(
-        "SELECT CAST(status AS VARCHAR) AS status, CAST(count(*) AS INTEGER) AS count"
+        "SELECT CAST(status AS VARCHAR) AS status, count(*) AS count"
         " FROM logs GROUP BY ALL"
     ),
     # data quality
@@ -299,7 +301,7 @@ ORACLE: dict[str, str] = {
     "content_size_stats": _on_clean(f"SELECT {_SIZES} FROM logs"),
     "content_size_describe": _on_clean(
         " UNION ALL ".join(
-            f"SELECT '{name}' AS summary, round(CAST({e} AS DOUBLE), 4)"
+            f"SELECT '{name}' AS summary, round(CAST({e} AS DOUBLE), 2)"
             " AS content_size FROM logs"
             for name, e in {
                 "count": "count(content_size)",
@@ -329,6 +331,9 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS unique_hosts FROM (SELECT DISTINCT host FROM logs)"
     ),
     "unique_hosts": _on_clean("SELECT DISTINCT host FROM logs"),
+    "close_unique_host_count": _on_clean(
+        "SELECT count(*) AS unique_hosts, true AS close FROM (SELECT DISTINCT host FROM logs)"
+    ),
     # days
     "host_day_pairs": _on_clean(f"SELECT DISTINCT host, {_DAY} AS day FROM logs"),
     "daily_unique_hosts": _on_clean(_daily_hosts(_DAY, "logs")),

@@ -13,20 +13,23 @@ no batch's top ten, one counted in every batch) cannot happen.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields as members
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens.functions import fields
+from accesslens.operators import quality
 from accesslens.operators.not_found import NOT_FOUND
 from accesslens.operators.traffic import OK, average_requests, counted, most_frequent
-from accesslens.sources.tables import read_batch, read_table, write_batch
+from accesslens.sources.tables import read_batch, read_committed, write_batch
 
-# Sums of sizes and of their squares are exact: a square reaches 2^62, and this
-# type holds 10^19 of those.
+# Sums of sizes and of their squares are exact: decimals hold 10^12 squares of sizes up to
+# 10^13 without rounding.
 _EXACT = "decimal(38,0)"
-_ADDEND = "decimal(28,0)"
+_SIZE = "decimal(19,0)"
 _MISSING = "missing_"
 
 
@@ -42,15 +45,15 @@ def partial_counts(logs: DataFrame) -> Partials:
     date = F.col("time").cast("date").alias("date")
     size = F.col("content_size")
     requests = F.count(F.lit(1)).alias("requests")
-    square = size.cast("bigint") * size.cast("bigint")
+    square = size.cast(_SIZE) * size.cast(_SIZE)
     hours = logs.groupBy(date, fields.hour("time").alias("hour"), "status").agg(
         requests,
         F.count(size).alias("sized"),
-        F.sum(size.cast(_ADDEND)).alias("size_sum"),
-        F.sum(square.cast(_ADDEND)).alias("size_squares"),
+        F.sum(size.cast(_SIZE)).alias("size_sum"),
+        F.sum(square.cast(_EXACT)).alias("size_squares"),
         F.min(size).alias("size_min"),
         F.max(size).alias("size_max"),
-        *[F.count_if(F.col(c).isNull()).alias(_MISSING + c) for c in logs.columns],
+        *[F.count_if(missing).alias(_MISSING + c) for c, missing in _misses(logs)],
     )
     host_days = logs.groupBy(date, "host").agg(
         requests, F.count_if(F.col("status") == NOT_FOUND).alias("not_found")
@@ -59,23 +62,41 @@ def partial_counts(logs: DataFrame) -> Partials:
     return Partials(hours, host_days, endpoints)
 
 
+def _misses(logs: DataFrame) -> list[tuple[str, Column]]:
+    """For each field, whether a row misses it: from a flag, if there is one."""
+    flagged = [c.removeprefix(_MISSING) for c in logs.columns if c.startswith(_MISSING)]
+    return [(c, F.col(_MISSING + c)) for c in flagged] or [
+        (c, quality.missing(logs, c)) for c in quality.field_names(logs)
+    ]
+
+
+def narrow(logs: DataFrame) -> DataFrame:
+    """What ``partial_counts`` reads of a log table: five fields, and which are missing."""
+    flags = [missing.alias(_MISSING + c) for c, missing in _misses(logs)]
+    return logs.select("time", "host", "endpoint", "status", "content_size", *flags)
+
+
 def write_partials(
     spark: SparkSession, partials: Partials, root: str, batch_id: int
 ) -> Partials:
-    """Write the counts of a batch; returns them as written, not to be redone."""
-    written = {}
-    for member in members(Partials):
-        counts = getattr(partials, member.name)
-        write_batch(counts, root, member.name, batch_id)
-        written[member.name] = read_batch(
-            spark, root, member.name, batch_id, counts.schema
-        )
-    return Partials(**written)
+    """Write the counts of a batch; returns them as written, not to be redone.
+
+    The three are computed at the same time.
+    """
+
+    def write(name: str) -> DataFrame:
+        counts = getattr(partials, name)
+        write_batch(counts, root, name, batch_id)
+        return read_batch(spark, root, name, batch_id, counts.schema)
+
+    names = [member.name for member in members(Partials)]
+    with ThreadPoolExecutor(len(names)) as pool:
+        return Partials(*pool.map(inheritable_thread_target(spark)(write), names))
 
 
 def read_partials(spark: SparkSession, root: str) -> Partials:
-    """Counts of all batches."""
-    return Partials(*[read_table(spark, root, m.name) for m in members(Partials)])
+    """Counts of all committed batches, so the three tables are of the same ones."""
+    return Partials(*[read_committed(spark, root, m.name) for m in members(Partials)])
 
 
 def _summed(rows: DataFrame, *keys: Column | str, value: str = "requests") -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 CLF_TIME = "dd/MMM/yyyy:HH:mm:ss"
 ISO_TIME = "yyyy-MM-dd HH:mm:ss"
 
+# What some responses have on top, to be larger than 32 bits tell.
+LARGE = 3_000_000_000
+
 
 def event_lines(events: DataFrame, style: str = "clf") -> DataFrame:
     """``event_id, value``: one access line per event, in CLF or ISO form."""
@@ -39,9 +42,9 @@ def event_lines(events: DataFrame, style: str = "clf") -> DataFrame:
         ),
         protocol=F.when(event_id % 89 == 0, "").otherwise(" HTTP/1.0"),
         status=status,
-        size=F.when((event_id % 101 == 0) | (status == "304"), "-").otherwise(
-            F.floor(F.col("value") * 100).cast("string")
-        ),
+        size=F.when((event_id % 101 == 0) | (status == "304"), "-")
+        .when(event_id % 103 == 0, (F.floor(F.col("value") * 100) + LARGE).cast("string"))
+        .otherwise(F.floor(F.col("value") * 100).cast("string")),
     )
     garbage = F.concat(F.lit("garbage "), event_id.cast("string"))
     return events.select(

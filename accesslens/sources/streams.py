@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from accesslens.functions import fields
 
 
+# What a micro-batch takes at most, so that the first one, which meets all that was stored
+# before, is no larger than an executor can keep.
+MAX_FILES = 1_000
+MAX_OFFSETS = 5_000_000
+
+
 def kafka_options(servers: str, topic: str, starting: str = "earliest") -> dict:
     """Options for reading one topic."""
     return {
@@ -25,11 +31,11 @@ def open_stream(
     glob: str | None = None,
     column: str = "value",
     column_type: str = "string",
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     servers: str | None = None,
     topic: str | None = None,
     starting: str = "earliest",
-    max_offsets: int | None = None,
+    max_offsets: int | None = MAX_OFFSETS,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming ``value: string`` from a topic or from files that arrive.
@@ -37,8 +43,8 @@ def open_stream(
     ``kind="kafka"`` reads ``topic`` from ``servers`` and needs Spark's Kafka
     connector on the class path. ``kind="text"`` reads text files that appear in
     ``path``; ``kind="parquet"`` reads ``column`` of Parquet files there.
-    ``max_files`` and ``max_offsets`` bound a micro-batch; without them one
-    takes all there is. ``min_partitions`` has more tasks read a topic than it
+    ``max_files`` and ``max_offsets`` bound a micro-batch; what is beyond them follows
+    in the next ones. With None one takes all there is. ``min_partitions`` has more tasks read a topic than it
     has partitions, by splitting those with most to read.
     """
     if kind == "kafka":

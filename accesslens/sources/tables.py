@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# The table that says which batches are whole.
+COMMITTED = "committed_batches"
+
 
 def write_batch(result: DataFrame, root: str, table: str, batch_id: int) -> None:
     """Add the rows of one batch to a result table.
@@ -40,17 +43,57 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def latest_batch(rows: DataFrame) -> DataFrame:
-    """Rows of the last batch, for tables of which every batch holds all of it."""
-    last = rows.agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(F.broadcast(last), "batch_id").drop("batch_id")
+def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Say that every table has the rows of a batch. To be called when all are written."""
+    done = spark.range(1).select(F.current_timestamp().alias("committed"))
+    write_batch(done, root, COMMITTED, batch_id)
+
+
+def batch_ids(spark: SparkSession, root: str, table: str = COMMITTED) -> list[int]:
+    """Batches of a table in order, by the names of its folders; no file is read.
+
+    Only folders whose writer has finished count.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    folders = [status.getPath() for status in files.listStatus(path)]
+    numbers = {f: f.getName().removeprefix("batch_id=") for f in folders}
+    return sorted(
+        int(number)
+        for folder, number in numbers.items()
+        if number.isdigit() and files.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+    )
+
+
+def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of a result table of the batches that are committed, with their ``batch_id``.
+
+    A batch of which some tables are written and others not is in none, so what is
+    read of several tables fits together.
+    """
+    rows = read_table(spark, root, table)
+    return rows.filter(F.col("batch_id").isin(batch_ids(spark, root)))
+
+
+def read_last(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of the last batch, for tables of which every batch holds all of it.
+
+    Reads one folder, however many there are.
+    """
+    ids = batch_ids(spark, root, table)
+    if not ids:
+        raise ValueError(f"no batch of {table} below {root}")
+    return read_batch(spark, root, table, ids[-1])
 
 
 def land_logs(logs: DataFrame, path: str, by_date: bool = False) -> None:
     """Write a parsed log table as Parquet, for when it is queried repeatedly.
 
-    Queries then read only the columns they use and skip row groups by status,
-    instead of matching every line again. What is at ``path`` is replaced.
+    Queries then read only the columns they use, instead of matching every line again;
+    their filters run on the columns' values. What is at ``path`` is replaced.
     ``by_date`` makes one folder per date; rows are brought together by date
     first, and a date with much more than the others is spread over several tasks.
     """

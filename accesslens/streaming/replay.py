@@ -18,23 +18,23 @@ def batch_ranges(rows: DataFrame, key: str, batches: int) -> list[tuple[int, int
     return [(first, end - 1) for first, end in zip(starts, starts[1:])]
 
 
-def batch_number(key: Column, ranges: list[tuple[int, int]]) -> Column:
-    """Which of the ranges a key lies in, from 0."""
-    number = F.lit(None).cast("bigint")
-    for i, (first, last) in enumerate(ranges):
-        number = F.when(key.between(first, last), F.lit(i)).otherwise(number)
-    return number.cast("bigint")
+def batch_number(key: Column, low: int, high: int, batches: int) -> Column:
+    """Which of equal ranges from ``low`` to ``high`` a key lies in, from 0."""
+    exact = "decimal(38,0)"
+    place = (key.cast("decimal(20,0)") - F.lit(low)).cast(exact) * F.lit(batches)
+    return F.floor(place / F.lit(high - low + 1).cast("decimal(20,0)")).cast("bigint")
 
 
 def stage_batches(lines: DataFrame, key: str, batches: int, path: str) -> None:
     """Write lines as text shards, one folder ``batch_id=<n>`` for each batch.
 
-    One pass without a shuffle: where the input is in order of the key, a task
-    writes to one folder or two, and a batch may have any number of files.
+    Rows of a batch are brought together first, so that a batch has a file for each
+    so many bytes and not one for each task, whatever the order of the input.
     """
-    number = batch_number(F.col(key), batch_ranges(lines, key, batches))
+    low, high = lines.agg(F.min(key), F.max(key)).first()
+    number = batch_number(F.col(key), low or 0, high or 0, batches)
     staged = lines.select(number.alias("batch_id"), "value")
-    staged.write.partitionBy("batch_id").text(path)
+    staged.hint("rebalance", "batch_id").write.partitionBy("batch_id").text(path)
 
 
 def deliver(lines: DataFrame, path: str) -> None:

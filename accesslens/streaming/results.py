@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from accesslens.functions.parse import parse_logs
+from accesslens.operators.quality import LINE
 from accesslens.plans.partials import (
     RESULT_TABLES,
+    narrow,
     partial_counts,
     write_partials,
 )
-from accesslens.sources.tables import write_batch
+from accesslens.sources.tables import commit_batch, write_batch
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -27,23 +29,25 @@ def write_results(
     The batch is reduced to its partial counts, which are written, and the result
     tables are computed from those, ``parallel`` at a time because each is small.
     Everything written belongs to the batch id, so a batch that is retried after
-    a failure replaces what it had written.
+    a failure replaces what it had written. The batch is committed when all is written;
+    readers leave out what is not.
 
-    With ``keep`` the parsed rows are kept until the counts are written, so that
-    lines are read and parsed once. Logs that were landed as Parquet, such as
+    With ``keep`` the fields that are counted are kept until the counts are written, so
+    that lines are read and parsed once. Logs that were landed as Parquet, such as
     years of them in one batch, are better not kept: each count then reads only
     its own columns.
     """
     spark = logs.sparkSession
     if logs.isEmpty():  # reads one row and parses none
         return
+    counted = narrow(logs)
     if keep:
-        logs.persist(StorageLevel.MEMORY_AND_DISK)
+        counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        partials = write_partials(spark, partial_counts(logs), root, batch_id)
+        partials = write_partials(spark, partial_counts(counted), root, batch_id)
     finally:
         if keep:
-            logs.unpersist()
+            counted.unpersist()
 
     def write_table(table: str) -> None:
         write_batch(RESULT_TABLES[table](partials), root, table, batch_id)
@@ -52,6 +56,7 @@ def write_results(
         # Threads that inherit the query's job group, so that stopping it stops
         # their jobs too.
         list(pool.map(inheritable_thread_target(spark)(write_table), RESULT_TABLES))
+    commit_batch(spark, root, batch_id)
 
 
 def start_metrics(
@@ -60,18 +65,20 @@ def start_metrics(
     checkpoint: str,
     style: str = "iso",
     trigger: dict | None = None,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Start writing the result tables of streaming ``lines`` below ``root``.
 
     ``checkpoint`` records which input has been processed, so that a query
-    started again with it goes on where the last one ended.
+    started again with it goes on where the last one ended. ``keep`` is that of
+    ``write_results``. How much a batch takes is bounded where the stream is opened.
     """
     return (
-        parse_logs(lines, style)
+        parse_logs(lines, style, keep=[LINE])
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
-        .foreachBatch(lambda logs, batch_id: write_results(logs, root, batch_id))
+        .foreachBatch(lambda logs, batch_id: write_results(logs, root, batch_id, keep))
         .start()
     )
 

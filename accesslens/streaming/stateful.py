@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from accesslens.functions import fields
 from accesslens.operators.not_found import NOT_FOUND
 from accesslens.operators.traffic import counted
-from accesslens.sources.tables import latest_batch, read_table, write_batch
+from accesslens.sources.tables import read_last, read_table, write_batch
 from accesslens.streaming.results import TRIGGER
 
 STATUS_TOTALS = "status_totals"
@@ -50,7 +50,7 @@ def start_status_totals(
 
 def status_totals(spark: SparkSession, root: str) -> DataFrame:
     """The totals as of the last batch."""
-    return latest_batch(read_table(spark, root, STATUS_TOTALS))
+    return read_last(spark, root, STATUS_TOTALS)
 
 
 def start_hourly_totals(

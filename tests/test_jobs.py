@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from accesslens import jobs
-from accesslens.catalog import QUERIES, lines
+from accesslens.catalog import QUERIES, lines, stream_run
 from accesslens.plans.report import ANALYSES, PROFILE
 from accesslens.sources.text import write_lines
 
@@ -38,6 +38,27 @@ def test_batch_job(spark, sf_dir, tmp_path):
         assert _rows(written) == _rows(QUERIES[QUERY_OF[name]](spark, sf_dir)), name
 
 
+def test_batch_job_of_iso_lines_by_date(spark, sf_dir, tmp_path):
+    write_lines(lines(spark, sf_dir, "iso"), f"{tmp_path}/in")
+    jobs.main(["batch", f"{tmp_path}/in", f"{tmp_path}/out", "--style", "iso", "--by-date"])
+    for name in [*PROFILE, *ANALYSES]:
+        if name in ("shape", "busiest_endpoint_by_weekday", "not_found_by_weekday"):
+            continue  # weekdays of garbage lines are unknown either way
+        written = spark.read.parquet(f"{tmp_path}/out/{name}")
+        assert _rows(written) == _rows(QUERIES[QUERY_OF[name]](spark, sf_dir)), name
+
+
+def test_results_job(spark, sf_dir, tmp_path):
+    root = f"{stream_run(spark, sf_dir)}/results"
+    jobs.main(["results", root, f"{tmp_path}/out"])
+    assert set(jobs.EXACT) == {p.name for p in (tmp_path / "out/exact").iterdir()}
+    assert set(jobs.SUMMED) == {p.name for p in (tmp_path / "out/summed").iterdir()}
+    hosts = spark.read.parquet(f"{tmp_path}/out/exact/frequent_hosts")
+    assert _rows(hosts) == _rows(QUERIES["hosts_exact_topk"](spark, sf_dir))
+    hosts = spark.read.parquet(f"{tmp_path}/out/summed/hosts")
+    assert _rows(hosts) == _rows(QUERIES["hosts_batch_rollup"](spark, sf_dir))
+
+
 def test_jobs_on_topics_need_the_connector(spark, tmp_path, sf_dir):
     write_lines(lines(spark, sf_dir), f"{tmp_path}/in")
     for arguments in (

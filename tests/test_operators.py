@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from accesslens import session
 from accesslens.catalog import clean_logs, logs
-from accesslens.functions import fields
+from accesslens.functions import fields, patterns
 from accesslens.functions.parse import parse_logs
 from accesslens.operators import not_found, quality, traffic
 from accesslens.sources.tables import (
     land_logs,
-    latest_batch,
+    batch_ids,
+    commit_batch,
+    read_committed,
+    read_last,
     read_batch,
     read_table,
     write_batch,
@@ -60,7 +63,7 @@ def test_missing_values(small):
     assert blank.asDict() == missing | {"host": 2, "day_of_week": 2}
     filled = quality.fill_missing_size(small)
     assert quality.count_missing_per_column(filled).first()["content_size"] == 0
-    assert filled.schema["content_size"].dataType.simpleString() == "int"
+    assert filled.schema["content_size"].dataType.simpleString() == "bigint"
     assert quality.clean_batch(small).count() == 5
     assert _tuples(quality.table_shape(small)) == [(7, 8)]
     first = quality.preview_rows(small, 3, ["host"]).collect()
@@ -96,7 +99,7 @@ def test_missing_status_is_neither_ok_nor_error(small):
 
 def test_a_missing_host_counts_as_one(small):
     assert traffic.unique_host_count(small).first()[0] == 4
-    assert traffic.approx_unique_host_count(small).first()[0] == 3
+    assert traffic.approx_unique_host_count(small).first()[0] == 4
 
 
 def test_ties_go_to_the_smaller_key(small):
@@ -156,7 +159,9 @@ def test_latest_batch_and_pruning(spark):
     for n in (0, 2, 1):
         write_batch(spark.range(n, n + 2), root, "t", n)
     rows = read_table(spark, root, "t")
-    assert Counter(_tuples(latest_batch(rows))) == Counter([(2,), (3,)])
+    last = read_last(spark, root, "t")
+    assert Counter(_tuples(last)) == Counter([(2,), (3,)])
+    assert all("batch_id=2/" in file for file in last.inputFiles())
     assert sorted(_tuples(read_batch(spark, root, "t", 0))) == [(0,), (1,)]
     plan = rows.filter("batch_id = 1")._jdf.queryExecution().toString()
     assert "PartitionFilters: [" in plan and "batch_id" in plan.split(
@@ -164,6 +169,42 @@ def test_latest_batch_and_pruning(spark):
     )[1].split("]")[0]
 
 
+def test_a_batch_counts_when_it_is_committed(spark):
+    root = session.new_folder(spark, "table")
+    for n in (0, 1):
+        write_batch(spark.range(n, n + 1), root, "t", n)
+    assert batch_ids(spark, root) == []
+    assert read_committed(spark, root, "t").count() == 0
+    commit_batch(spark, root, 0)
+    assert batch_ids(spark, root) == [0]
+    assert _tuples(read_committed(spark, root, "t")) == [(0, 0)]
+    with pytest.raises(ValueError, match="no batch"):
+        read_last(spark, root, "nothing")
+
+
+def test_counts_beyond_32_bits(spark):
+    line = LINE.format(
+        host="a.bc", time="01/Jan/2024:00:00:00", endpoint="/", status=200, size=3 * 10**9
+    )
+    rows = parse_logs(spark.createDataFrame([(line,)], "value string"))
+    assert quality.clean_batch(rows).first()["content_size"] == 3_000_000_000
+    many = spark.createDataFrame([(200, 3_000_000_000)], "status int, count bigint")
+    series = traffic.most_frequent(many, "status").select(F.col("count"))
+    assert series.first()[0] == 3_000_000_000
+    assert traffic.status_chart_series(rows).schema["count"].dataType.simpleString() == "bigint"
+
+
+def test_missing_text_is_known_from_the_line(spark):
+    lines = spark.createDataFrame([(None,), ("x",)], "value string")
+    with_line = quality.count_missing_per_column(parse_logs(lines, keep=["value"]))
+    assert with_line.first() == quality.count_missing_per_column(parse_logs(lines)).first()
+    table = spark.createDataFrame([("x",)], "value string").filter("length(value) > 0")
+    counts = quality.count_missing_per_column(parse_logs(table, keep=["value"]))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert patterns.STATUS in plan
+    assert patterns.HOST not in plan and patterns.REQUEST not in plan
+
+
 def test_landed_logs_answer_like_lines(spark, sf_dir, tmp_path):
     parsed = logs(spark, sf_dir)
     land_logs(parsed, f"{tmp_path}/flat")

@@ -41,7 +41,7 @@ def test_top_k_sorts_no_more_than_k_rows(text_logs):
         traffic.top_hosts(text_logs),
         traffic.top_error_endpoints(text_logs),
         not_found.not_found_by_host(text_logs, 20),
-        quality.preview_rows(text_logs),
+        quality.preview_rows(text_logs, order_by=["host", "time"]),
     ):
         assert "TakeOrderedAndProject" in plan(result)
         assert "rangepartitioning" not in plan(result)
@@ -76,7 +76,7 @@ def test_average_is_one_scan_without_a_join(text_logs):
 
 def test_weekday_winners_are_cut_before_the_shuffle(text_logs):
     text = plan(traffic.busiest_endpoint_by_weekday(text_logs))
-    assert text.count("WindowGroupLimit") == 2
+    assert "Window" not in text
     assert text.count("Exchange hashpartitioning(day_of_week") == 2
 
 

@@ -14,7 +14,7 @@ from accesslens.plans import partials as exact
 from accesslens.plans import rollup, sketches
 from accesslens.session import new_folder
 from accesslens.sources.streams import kafka_options, open_stream, publish_lines
-from accesslens.sources.tables import read_batch, read_table, write_batch
+from accesslens.sources.tables import batch_ids, read_batch, read_table, write_batch
 from accesslens.streaming import replay, results, stateful
 
 
@@ -72,7 +72,7 @@ def test_result_schemas(spark, run):
     count = ("count", "bigint")
     assert schemas == {
         "content_size_summary": [
-            ("min_content_size", "int"), ("max_content_size", "int"),
+            ("min_content_size", "bigint"), ("max_content_size", "bigint"),
             ("mean_content_size", "double"), ("std_content_size", "double"),
             ("count_content_size", "bigint"),
         ],
@@ -301,7 +301,7 @@ def test_sketches_of_batches_merge(spark, slices, batch_logs):
     "sizes",
     [
         [], [None], [7], [5, 5, 5], [2**31 - 1] * 3 + [2**31 - 2], [0, 2**31 - 1],
-        [10**9 + i for i in range(50)],
+        [10**9 + i for i in range(50)], [5 * 10**9 + i for i in range(20)], [10**13, 1],
     ],
 )
 def test_merged_deviation(spark, sizes):
@@ -312,7 +312,7 @@ def test_merged_deviation(spark, sizes):
         [(datetime.datetime(2024, 1, 1, i % 24), "h", "/", 200, s)
          for i, s in enumerate(sizes)],
         "time timestamp_ntz, host string, endpoint string, status int,"
-        " content_size int",
+        " content_size bigint",
     )
     row = exact.content_sizes(exact.partial_counts(logs)).first()
     known = [s for s in sizes if s is not None]
@@ -330,6 +330,42 @@ def test_merged_deviation(spark, sizes):
         assert row["std_content_size"] is None
 
 
+def test_replay_numbers_any_amount_of_batches(spark, tmp_path):
+    keys = spark.range(100, 30_100).withColumnRenamed("id", "event_id")
+    ranges = replay.batch_ranges(keys, "event_id", 5_000)
+    number = replay.batch_number(F.col("event_id"), 100, 30_099, 5_000)
+    numbered = dict(keys.select("event_id", number).collect())
+    assert all(numbered[first] == n == numbered[last] for n, (first, last) in enumerate(ranges))
+    wide = spark.createDataFrame([(-(2**62),), (2**62,)], "k bigint")
+    number = replay.batch_number(F.col("k"), -(2**62), 2**62, 7)
+    assert {r[0] for r in wide.select(number).collect()} == {0, 6}
+    lines = keys.select("event_id", F.col("event_id").cast("string").alias("value"))
+    replay.stage_batches(lines.repartition(16), "event_id", 3, f"{tmp_path}/staged")
+    folders = list((tmp_path / "staged").glob("batch_id=*"))
+    assert len(folders) == 3
+    assert all(len(list(folder.glob("part-*"))) == 1 for folder in folders)
+
+
+def test_a_processing_time_trigger_takes_files_in_batches(spark, tmp_path):
+    source, root = f"{tmp_path}/lines", f"{tmp_path}/results"
+    for part in range(3):
+        lines = spark.range(part * 10, part * 10 + 10).select(
+            F.format_string('a.bc - - [2024-01-01 00:00:00] "GET /x" 200 %d', "id").alias("value")
+        )
+        replay.deliver(lines.coalesce(1), source)
+    stream = open_stream(spark, "text", path=source, max_files=1)
+    query = results.start_metrics(
+        stream, root, f"{tmp_path}/checkpoint", trigger={"processingTime": "1 second"}, keep=False
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert batch_ids(spark, root) == [0, 1, 2]
+    rows = exact.statuses(exact.read_partials(spark, root)).collect()
+    assert [tuple(row) for row in rows] == [(200, 30)]
+
+
 def test_replay_cuts_into_equal_ranges(spark):
     keys = spark.range(10, 21)
     assert replay.batch_ranges(keys, "id", 4) == [(10, 12), (13, 15), (16, 18), (19, 20)]
