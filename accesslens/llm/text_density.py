@@ -161,7 +161,7 @@ def parse(html: str) -> Node:
             continue
         top = node
     if at < len(html):
-        top.children.append(html[at:])
+        top.children.append(html[at:].partition("<!--")[0])
     return root
 
 

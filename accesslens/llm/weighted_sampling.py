@@ -202,7 +202,9 @@ def _ranges(documents: DataFrame, n: int) -> DataFrame:
         return docs.withColumn("id_range", F.lit(0))
     cells = max(1, min(CELLS * n, high - low + 1))
     width = -(-(high - low + 1) // cells)
-    cell = F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("int")
+    exact = "decimal(20,0)"  # ids can be further apart than a bigint tells
+    above = F.col("doc_id").cast(exact) - F.lit(str(low)).cast(exact)
+    cell = F.call_function("div", above, F.lit(str(width)).cast(exact)).cast("int")
     counts = dict(ids.where("doc_id IS NOT NULL").groupBy(cell.alias("c")).count().collect())
     each = max(1, -(-sum(counts.values()) // n))
     ranges, total = [], 0

@@ -1,0 +1,166 @@
+"""Main text, fingerprints and compression bands against plain versions."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import zstandard
+
+from accesslens.llm import compression_bands, text_density, weighted_sampling
+from accesslens.llm.common import WORDS
+from accesslens.llm.queries import QUERIES
+
+ARTICLE = "<p>First paragraph with <a href=x>a link</a> &amp; more.<p>Second,\n  short.<p>Ok."
+TEXT = "First paragraph with a link & more.\nSecond, short.\nOk."
+PAGES = {
+    "article": (f"<body><nav><a>Menu</a></nav><article>{ARTICLE}</article>", TEXT),
+    "no semantics": (
+        f"<html class='has-sidebar'><body><div id=nav><a href=/>Home</a></div>"
+        f"<div class=post>{ARTICLE}</div><div class='comments'><p>A reader says a lot of "
+        f"things about it at length.</div><div class=footer>Imprint</div>", TEXT,
+    ),
+    "header of the article": (
+        f"<body><header><p>Site of many things</header><article><header><h1>Title</h1>"
+        f"</header>{ARTICLE}<form><p>Name<input></form><aside>Also read</aside></article>"
+        "<script>var a='<p>x</p>'</script>", f"Title\n{TEXT}",
+    ),
+    "list": ("<main><p>Long text of the page here.<ul><li>one<li>two</ul></main>",
+             "Long text of the page here.\none\ntwo"),
+    "notice": (f"<body><div class='cookie-notice'><p>We use cookies, and say so at length."
+               f"</div><article>{ARTICLE}</article>", TEXT),
+    "nothing": ("", ""),
+    "plain": ("just text &lt;", "just text <"),
+    "comment": ("<p>a<!-- b --></p><!-- open", "a"),
+    "broken": ("<p>a</div></p><b>b</i>", "a\nb"),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_main_text(name):
+    html, text = PAGES[name]
+    assert text_density.main_text(html) == text
+
+
+def test_pages_of_any_kind(spark):
+    rows = [(i, "u", html, "x") for i, (html, _) in enumerate(PAGES.values())]
+    rows += [(None, None, None, "x"), (0, "u", PAGES["article"][0], "x")]
+    rows.append((99, "u", "<b>" * 50_000 + "deep" + "<a \"" * 20_000, "x"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    found = text_density.extract(pages).collect()
+    assert len(found) == len(rows)
+    wanted = [text for _, text in PAGES.values()] + ["", TEXT]
+    assert [r.text for r in found[:-1]] == wanted
+    assert all(r.n_chars == len(r.text) for r in found)
+    assert text_density.extract(pages.where("false")).count() == 0
+
+
+def _jaccard(a, b):
+    a, b = Counter(WORDS.findall(a)), Counter(WORDS.findall(b))
+    return (a & b).total() / (a | b).total() if a or b else 1.0
+
+
+def test_likeness_estimates_generalised_jaccard():
+    random.seed(3)
+    vocabulary = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(120):
+        words = random.choices(vocabulary, weights=range(200, 0, -1), k=150)
+        other = words[: random.randrange(150)] + random.choices(vocabulary, k=random.randrange(150))
+        texts += [" ".join(words), " ".join(other)]
+    codes = weighted_sampling.Sampler(256).sample(texts)
+    error = [
+        weighted_sampling.likeness(codes[i], codes[i + 1]) - _jaccard(texts[i], texts[i + 1])
+        for i in range(0, len(texts), 2)
+    ]
+    assert abs(np.mean(error)) < 0.012 and np.std(error) < 0.05
+
+
+def test_equal_texts_have_equal_fingerprints_in_any_company():
+    one = weighted_sampling.Sampler(64).sample(["a b b c", "", "x"])
+    two = weighted_sampling.Sampler(64, remembered=1).sample(["q r s", "c b a b"])
+    assert weighted_sampling.fingerprint(one[0]) == weighted_sampling.fingerprint(two[1])
+    assert weighted_sampling.likeness(one[1], one[1]) == 1.0
+    assert weighted_sampling.likeness(one[0], one[1]) == 0.0
+
+
+@pytest.mark.parametrize("ids", [
+    [5, 1, 9, 3, 7, 2], [4], [], [1, 1, 1], [-(2**62), 0, 2**62], [None, 3, None, 1],
+    list(range(600)),
+])
+def test_edited_texts_in_order(spark, ids):
+    texts = [f"text {i} " * (n % 5) if n % 4 else None for n, i in enumerate(ids)]
+    documents = spark.createDataFrame(
+        [(i, t, 1) for i, t in zip(ids, texts, strict=True)],
+        "doc_id bigint, text string, id_range int",
+    ).repartition(5)
+    found = weighted_sampling.edited_fingerprints(documents).collect()
+    order = sorted(
+        [(i is not None, i or 0, t or "") for i, t in zip(ids, texts, strict=True)]
+    )
+    wanted = Counter()
+    for n, (known, i, text) in enumerate(order):
+        edited = weighted_sampling.edited_text(text, order[(n + 1) % len(order)][2])
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        wanted[(i if known else None, len(text), digest)] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in found) == wanted
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+
+
+def test_edited_text():
+    assert weighted_sampling.edited_text("abcde", "xyz") == "abcxy"
+    assert weighted_sampling.edited_text("abcdef", "x") == "abcx"
+    assert weighted_sampling.edited_text("", "x") == ""
+
+
+def _measured(text):
+    words = WORDS.findall(text)
+    runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {j for i, r in enumerate(runs) if runs.count(r) > 1 for j in (i, i + 1, i + 2)}
+    lines = [line for line in text.split("\n") if WORDS.search(line)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+        sum(line in lines[:i] for i, line in enumerate(lines)), len(covered), failed,
+    )
+
+
+def test_quality_measures(spark):
+    rng = random.Random(4)
+    texts = ["", "a", "a a a a", "a b c a b c\n\n \na\na", "#$ <b>\n" * 30, "é " * 60]
+    texts += [" ".join(rng.choices("abc", k=rng.randrange(80))) for _ in range(40)]
+    texts += ["\n".join(" ".join(rng.choices("abcde#", k=5)) for _ in range(20))]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, None, "x"), (0, "", "x")]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, quality string")
+    found = compression_bands.with_measures(documents).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row.quality == "x" and tuple(row["_quality"])[:6] == _measured(row.text or "")
+    kept = compression_bands.reject(documents)
+    assert kept.columns == documents.columns
+    assert kept.count() == sum(r["_quality"].kept for r in found)
+    assert compression_bands.reject(documents.where("false")).count() == 0
+
+
+def test_bands_reject_repetition_and_noise():
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(6)
+    kept = dict(zip(("prose", "noise", "repeated", "half"), [
+        compression_bands.measure(text, compress)[6]
+        for text in (
+            " ".join("".join(rng.choices("etaoinshrdlu", weights=range(12, 0, -1), k=rng.randrange(2, 9)))
+                     for _ in range(900)),
+            " ".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(9)) for _ in range(90)),
+            "buy now cheap pills " * 400,
+            " ".join(f"{rng.random()}"[2:12] for _ in range(300)) + " same words again" * 800,
+        )
+    ], strict=True))
+    assert kept == {"prose": True, "noise": False, "repeated": False, "half": False}
+
+
+def test_good_documents_are_kept(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = QUERIES["op6_compression_bands"](spark, sf_dir)
+    good = found.join(labels, "doc_id").where("quality = 1 AND NOT base_failed")
+    assert good.where("NOT kept").count() == 0 < good.count()
