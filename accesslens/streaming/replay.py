@@ -22,7 +22,8 @@ def batch_number(key: Column, low: int, high: int, batches: int) -> Column:
     """Which of equal ranges from ``low`` to ``high`` a key lies in, from 0."""
     exact = "decimal(38,0)"
     place = (key.cast("decimal(20,0)") - F.lit(low)).cast(exact) * F.lit(batches)
-    return F.floor(place / F.lit(high - low + 1).cast("decimal(20,0)")).cast("bigint")
+    span = F.lit(str(high - low + 1)).cast(exact)
+    return F.call_function("div", place, span).cast("bigint")
 
 
 def stage_batches(lines: DataFrame, key: str, batches: int, path: str) -> None:

@@ -22,7 +22,7 @@ QUERY_OF = {name: name for name in ANALYSES} | {
 
 def _rows(df):
     rounded = [
-        tuple(round(v, 4) if isinstance(v, float) else v for v in row)
+        tuple(round(v, 2) if isinstance(v, float) else v for v in row)
         for row in df.collect()
     ]
     return Counter(rounded)

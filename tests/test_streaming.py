@@ -14,7 +14,7 @@ from accesslens.plans import partials as exact
 from accesslens.plans import rollup, sketches
 from accesslens.session import new_folder
 from accesslens.sources.streams import kafka_options, open_stream, publish_lines
-from accesslens.sources.tables import batch_ids, read_batch, read_table, write_batch
+from accesslens.sources.tables import batch_ids, commit_batch, read_batch, read_table, write_batch
 from accesslens.streaming import replay, results, stateful
 
 
@@ -137,6 +137,8 @@ def test_rollup_leaves_out_missing_keys_and_sums_nothing_to_zero(spark):
         [(None, 5), (200, 1), (200, 2), (500, None)], "status int, count bigint"
     )
     write_batch(rows, root, "http_status", 0)
+    assert rollup.status(spark, root).isEmpty()  # not yet committed
+    commit_batch(spark, root, 0)
     assert [tuple(r) for r in rollup.status(spark, root).collect()] == [
         (200, 3), (500, 0)
     ]
