@@ -3,6 +3,7 @@
     spark-submit ... accesslens/jobs.py batch  hdfs:///logs hdfs:///report --glob '*.gz'
     spark-submit ... accesslens/jobs.py stream broker:9092 logs hdfs:///output
     spark-submit ... accesslens/jobs.py results hdfs:///output hdfs:///report
+    spark-submit ... accesslens/jobs.py compact hdfs:///output
     spark-submit ... accesslens/jobs.py publish hdfs:///logs/access.log broker:9092 logs
 
 ``stream`` and ``publish`` need Spark's Kafka connector (``--packages``).
@@ -117,6 +118,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     results.add_argument("input")
     results.add_argument("output")
 
+    smaller = jobs.add_parser("compact", help="make few files of a stream's tables")
+    smaller.add_argument("input")
+    smaller.add_argument("--upto", type=int, help="last batch to take")
+
     publish = jobs.add_parser("publish", help="send the lines of files to a topic")
     publish.add_argument("input")
     publish.add_argument("servers")
@@ -132,6 +137,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         run_batch(spark, lines, job.output.rstrip("/"), job.style, job.by_date)
     elif job.job == "results":
         run_results(spark, job.input.rstrip("/"), job.output.rstrip("/"))
+    elif job.job == "compact":
+        partials.compact_results(spark, job.input.rstrip("/"), job.upto)
     elif job.job == "publish":
         publish_lines(read_lines(spark, job.input), job.servers, job.topic)
     else:

@@ -24,7 +24,7 @@ from accesslens.functions import fields
 from accesslens.operators import quality
 from accesslens.operators.not_found import NOT_FOUND
 from accesslens.operators.traffic import OK, average_requests, counted, most_frequent
-from accesslens.sources.tables import read_batch, read_committed, write_batch
+from accesslens.sources.tables import compact, read_batch, read_committed, write_batch
 
 # Sums of sizes and of their squares are exact: decimals hold 10^12 squares of sizes up to
 # 10^13 without rounding.
@@ -99,6 +99,31 @@ def read_partials(spark: SparkSession, root: str) -> Partials:
     return Partials(*[read_committed(spark, root, m.name) for m in members(Partials)])
 
 
+def compact_results(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
+    """Compact what a stream has written below ``root``; see ``tables.compact``.
+
+    Partial counts are added up. Finished results of a batch stay its own, as they
+    don't add up; only their files become few.
+    """
+    keys = {
+        "hours": ("date", "hour", "status"),
+        "host_days": ("date", "host"),
+        "endpoints": ("endpoint", "status"),
+    }
+    tables = {name: lambda rows, by=by: _added_up(rows, by) for name, by in keys.items()}
+    tables |= {name: lambda rows: rows for name in RESULT_TABLES}
+    return compact(spark, root, tables, upto)
+
+
+def _added_up(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Counts of several batches as those of one, the last of them."""
+    how = {"size_min": F.min, "size_max": F.max, "batch_id": F.max}
+    values = [c for c in rows.columns if c not in keys]
+    kinds = dict(rows.dtypes)
+    added = [how.get(c, F.sum)(c).cast(kinds[c]).alias(c) for c in values]
+    return rows.groupBy(*keys).agg(*added)
+
+
 def _summed(rows: DataFrame, *keys: Column | str, value: str = "requests") -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum(value).alias("count"))
 

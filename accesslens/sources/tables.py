@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # The table that says which batches are whole.
 COMMITTED = "committed_batches"
+# The table that says up to which batches tables were compacted.
+COMPACTED = "compacted"
 
 
 def write_batch(result: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -72,10 +76,62 @@ def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of a result table of the batches that are committed, with their ``batch_id``.
 
     A batch of which some tables are written and others not is in none, so what is
-    read of several tables fits together.
+    read of several tables fits together. Batches that were compacted are read from
+    the last compaction, later ones from their folders.
     """
-    rows = read_table(spark, root, table)
-    return rows.filter(F.col("batch_id").isin(batch_ids(spark, root)))
+    compacted = batch_ids(spark, root, COMPACTED)
+    last = compacted[-1] if compacted else -1
+    later = [n for n in batch_ids(spark, root) if n > last]
+    if not compacted:
+        return read_table(spark, root, table).filter(F.col("batch_id").isin(later))
+    rows = spark.read.parquet(f"{root}/{COMPACTED}_tables/{last}/{table}")
+    if not later:
+        return rows
+    added = read_table(spark, root, table).filter(F.col("batch_id").isin(later))
+    return rows.unionByName(added)
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    tables: dict[str, Callable[[DataFrame], DataFrame]],
+    upto: int | None = None,
+) -> int | None:
+    """Put the rows of committed batches together, in few files for each table.
+
+    ``upto`` is the last batch to take, by default the last that is committed. A table's
+    function makes fewer rows of its own, if they add up. The compaction counts when all
+    tables are written; until then, and if it fails, readers see the former state. Folders
+    that the compaction before this one covers are deleted, so a reader has the time
+    between two compactions to finish. Returns the last batch it covers.
+    """
+    committed = batch_ids(spark, root)
+    taken = [n for n in committed if upto is None or n <= upto]
+    before = batch_ids(spark, root, COMPACTED)
+    if not taken or (before and taken[-1] <= before[-1]):
+        return before[-1] if before else None
+    last = taken[-1]
+    for table, merged in tables.items():
+        rows = read_committed(spark, root, table).filter(F.col("batch_id") <= last)
+        few = merged(rows).hint("rebalance")
+        few.write.mode("overwrite").parquet(f"{root}/{COMPACTED}_tables/{last}/{table}")
+    done = spark.range(1).select(F.current_timestamp().alias("compacted"))
+    write_batch(done, root, COMPACTED, last)
+    if before:
+        covered = [n for n in committed if n <= before[-1]]
+        old = [f"{root}/{t}/batch_id={n}" for t in (*tables, COMMITTED) for n in covered]
+        old += [f"{root}/{COMPACTED}_tables/{n}" for n in before[:-1]]
+        old += [f"{root}/{COMPACTED}/batch_id={n}" for n in before[:-1]]
+        _delete(spark, old)
+    return last
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path, True)
 
 
 def read_last(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -152,6 +152,37 @@ def test_a_batch_written_again_replaces_itself(spark, batch_logs):
     assert first == {t: _rows(read_table(spark, root, t)) for t in exact.RESULT_TABLES}
 
 
+def _answers(spark, root):
+    p = exact.read_partials(spark, root)
+    results_of = [make(p) for make in exact.RESULT_TABLES.values()]
+    summed = [rollup.status, rollup.hosts, rollup.unique_hosts, rollup.avg_daily,
+              rollup.missing_values, rollup.content_size_per_batch]
+    return [_rows(df) for df in [*results_of, *[make(spark, root) for make in summed]]]
+
+
+def test_compaction_changes_no_answer(spark, slices, tmp_path):
+    root = str(tmp_path / "results")
+    parts = [parse_logs(part, "iso") for part in slices]
+    for n in (0, 1):
+        results.write_results(parts[n], root, n)
+    before = _answers(spark, root)
+    assert exact.compact_results(spark, root) == 1
+    assert _answers(spark, root) == before
+    results.write_results(parts[2], root, 2)
+    before = _answers(spark, root)
+    # a batch that is only half written, and a compaction that is not done
+    write_batch(exact.partial_counts(parts[0]).hours, root, "hours", 3)
+    assert _answers(spark, root) == before
+    assert exact.compact_results(spark, root, upto=2) == 2
+    assert _answers(spark, root) == before
+    folders = [p.name for p in (tmp_path / "results/host_days").glob("batch_id=*")]
+    assert folders == ["batch_id=2"]  # what the first compaction covers is gone
+    assert exact.compact_results(spark, root, upto=2) == 2
+    assert _answers(spark, root) == before
+    compacted = list((tmp_path / "results/compacted_tables/2/hours").glob("*.parquet"))
+    assert len(compacted) == 1
+
+
 def test_a_batch_without_rows_writes_nothing(spark, batch_logs):
     root = new_folder(spark, "empty")
     results.write_results(batch_logs.filter("false"), root, 0)
