@@ -20,6 +20,9 @@ words at least, so that four in five words agree.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +43,17 @@ def _line_key() -> Column:
 
 
 def _normal(line: Column) -> Column:
-    """A line's words with single blanks between them."""
-    spaces = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
-    return F.trim(F.regexp_replace(line, spaces, " "))
+    """A line's words with single blanks between them.
+
+    Most lines are like that; finding out takes a small part of a pattern's time.
+    """
+    odd = [line.contains(c) for c in ("  ", "\t", "\x0b", "\x0c", "\r")]
+    single = F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")
+    return F.trim(F.when(reduce(or_, odd), single).otherwise(line))
 
 
 def _count(line: Column) -> Column:
-    blanks = F.length(line) - F.length(F.translate(line, " ", ""))
+    blanks = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
     return (blanks + 1).cast("bigint")
 
 
@@ -85,7 +92,8 @@ def _distinct(documents: DataFrame, min_chars: int) -> DataFrame:
     at = F.col("doc_key") * F.lit(10**9).cast("decimal(10,0)") + F.col("place")
     n = _count(F.col("line"))
     halves = F.when(n >= MIN_WORDS - 1, _halves(F.col("line"), n))
-    rows = lines.select(*_identity(), n.alias("n"), at.cast("decimal(38,0)").alias("at"), halves.alias("x"))
+    at = at.cast("decimal(38,0)").alias("at")
+    rows = lines.select(*_identity(), n.alias("n"), at, halves.alias("x"))
     rows = rows.select("h1", "h2", "n", "at", *[F.col("x")[i].alias(f"x{i}") for i in range(4)])
     least = rows.groupBy("h1", "h2").agg(
         F.min("at").alias("at"), *[F.first(c).alias(c) for c in ("n", "x0", "x1", "x2", "x3")]
@@ -150,7 +158,8 @@ def _near(candidates: DataFrame) -> DataFrame:
     first = long.groupBy(*key).agg(F.min("at").alias("earlier"), F.max("at").alias("last"))
     first = first.where("earlier <> last").drop("last")
     replaced = long.join(first, key).where("earlier < at")
-    replaced = replaced.select("at", "earlier", F.col("i").alias("cut"), F.col("i").alias("cut_earlier"))
+    same = [F.col("i").alias("cut"), F.col("i").alias("cut_earlier")]
+    replaced = replaced.select("at", "earlier", *same)
     # a line and what is left of a longer one without a word
     longer = long.select((F.col("n") - 1).alias("n"), "i", "v1", "v2", F.col("at").alias("long_at"))
     both = longer.join(whole, ["n", "v1", "v2"])
@@ -197,7 +206,10 @@ def _kept(documents: DataFrame, min_chars: int) -> DataFrame:
 
 
 def deduplicate_lines(
-    documents: DataFrame, min_chars: int = MIN_CHARS, counts: bool = False
+    documents: DataFrame,
+    min_chars: int = MIN_CHARS,
+    counts: bool = False,
+    drop_empty: bool = False,
 ) -> DataFrame:
     """``documents`` with the lines that stay in ``text``, other columns as they were.
 
@@ -205,11 +217,18 @@ def deduplicate_lines(
     text. Rows with equal doc_id and text count as one document and keep the same
     lines; equal ids with different texts are ordered by a hash of the text, null ids
     come first. ``counts`` adds n_lines, the number of lines before, and n_removed.
+    ``drop_empty`` leaves out documents in which no word stays.
     """
     names = {c: fresh(documents, c) for c in ("doc_key", "kept", "lines", "stay")}
     kept = _kept(documents, min_chars).withColumnsRenamed(names)
     marked = documents.withColumn(names["doc_key"], _line_key())
     joined = marked.join(kept, names["doc_key"], "left")
+    if drop_empty:  # a line that was compared and stays has words; else look for short ones
+        short_words = F.exists(
+            F.split(text_or_empty(), "\n", -1),
+            lambda line: F.length(_normal(line)).between(1, min_chars - 1),
+        )
+        joined = joined.where(F.col(names["kept"]).isNotNull() | short_words)
     joined = joined.withColumn(names["lines"], F.split(text_or_empty(), "\n", -1))
     lines = F.col(names["lines"])
     places = F.sequence(F.lit(0), F.size(lines) - 1)
