@@ -121,8 +121,7 @@ def write_records(
                 system.create_dir(root, recursive=True)
                 out = system.open_output_stream(f"{name}.rec-{attempt}")
             doc_ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, group in tokens.groups(texts):
+            for first, group in tokens.groups(batch.column(1)):
                 encoded = [ids + end for ids in encoder.encode(group)]
                 at = zip(doc_ids[first : first + len(group)], encoded, strict=True)
                 records = frame([_payload(d, ids, width) for d, ids in at])

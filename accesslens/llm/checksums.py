@@ -13,50 +13,37 @@ MASK_DELTA = 0xA282EAD8
 BLOCK = 256  # bytes whose checksums are found side by side
 
 
-def _tables() -> np.ndarray:
-    """For each value of a byte: the register after it and 0 to 3 bytes of zeros."""
-    table = np.arange(256, dtype=np.uint32)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Registers after four bytes of zeros: for the lower and the upper two bytes."""
+    byte = np.arange(256, dtype=np.uint32)
     for _ in range(8):
-        table = (table >> 1) ^ np.where(table & 1, POLYNOMIAL, 0).astype(np.uint32)
-    tables = [table]
-    for _ in range(3):
-        last = tables[-1]
-        tables.append(table[last & 0xFF] ^ (last >> 8))
-    return np.stack(tables)
+        byte = (byte >> 1) ^ np.where(byte & 1, POLYNOMIAL, 0).astype(np.uint32)
+    values = np.arange(1 << 16, dtype=np.uint32)
+    both = []
+    for register in (values, values << np.uint32(16)):
+        for _ in range(4):
+            register = byte[register & 0xFF] ^ (register >> np.uint32(8))
+        both.append(register)
+    return both[0], both[1]
 
 
-_T = _tables()
+_LOW, _HIGH = _tables()
 
 
-def _through(register: np.ndarray) -> np.ndarray:
-    """Registers after four bytes of zeros (or four bytes already mixed in)."""
-    return (
-        _T[3][register & 0xFF]
-        ^ _T[2][(register >> 8) & 0xFF]
-        ^ _T[1][(register >> 16) & 0xFF]
-        ^ _T[0][register >> 24]
-    )
+def _over(register: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.take(register & np.uint32(0xFFFF)) ^ high.take(register >> np.uint32(16))
 
 
-def _block_tables() -> np.ndarray:
-    """For each byte of a register: what a block of zeros turns it into."""
-    values = np.arange(256, dtype=np.uint32)
-    register = np.stack([values << np.uint32(8 * i) for i in range(4)])
+def _block_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The same for a whole block of zeros."""
+    values = np.arange(1 << 16, dtype=np.uint32)
+    low, high = values, values << np.uint32(16)
     for _ in range(BLOCK // 4):
-        register = _through(register)
-    return register
+        low, high = _over(low, _LOW, _HIGH), _over(high, _LOW, _HIGH)
+    return low, high
 
 
-_B = _block_tables()
-
-
-def _over_block(register: np.ndarray) -> np.ndarray:
-    return (
-        _B[0][register & 0xFF]
-        ^ _B[1][(register >> 8) & 0xFF]
-        ^ _B[2][(register >> 16) & 0xFF]
-        ^ _B[3][register >> 24]
-    )
+_BLOCK_LOW, _BLOCK_HIGH = _block_tables()
 
 
 def crc32c(strings: list[bytes]) -> np.ndarray:
@@ -82,13 +69,14 @@ def crc32c(strings: list[bytes]) -> np.ndarray:
     words = data.view("<u4").reshape(-1, BLOCK // 4).T.copy()
     register = np.zeros(words.shape[1], np.uint32)
     for word in words:
-        register = _through(register ^ word)
+        register = _over(register ^ word, _LOW, _HIGH)
     # chain: strings with more blocks come first, so those with a j-th one are a prefix
     first = (ends - blocks[order] * BLOCK) // BLOCK
     chained = register[first]
     for j in range(1, int(blocks.max())):
         n = int(np.searchsorted(-blocks[order], -j, side="left"))
-        chained[:n] = _over_block(chained[:n]) ^ register[first[:n] + j]
+        after = _over(chained[:n], _BLOCK_LOW, _BLOCK_HIGH)
+        chained[:n] = after ^ register[first[:n] + j]
     result = np.empty(len(strings), np.uint32)
     result[order] = ~chained
     return result

@@ -29,7 +29,7 @@ from accesslens.llm.common import written
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 CLASSES = 128  # of lengths; patterns are sums of them
-RANK_ROWS = 50_000  # rows of one length that one task ranks, about
+RANK_ROWS = 1000  # rows of one length that are ranked together, about
 
 Contents = tuple[tuple[int, int], ...]  # (length, how many of them)
 Plan = list[tuple[Contents, int]]  # contents of a sequence, number of such sequences
@@ -61,8 +61,7 @@ def cut_pieces(
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, group in tokens.groups(texts):
+            for first, group in tokens.groups(batch.column(1)):
                 rows = []
                 for i, found in enumerate(encoder.encode(group), first):
                     ids = found + end
@@ -292,9 +291,13 @@ def pack_pieces(pieces: DataFrame, max_tokens: int) -> DataFrame:
         "length bigint, slot_from bigint, slot_to bigint, slot_each bigint, "
         "slot_sequence bigint, slot_offset bigint",
     )
-    buckets = max(1, max(histogram.values(), default=0) // RANK_ROWS)
+    buckets = spark.createDataFrame(
+        [(length, n // RANK_ROWS + 1) for length, n in histogram.items()],
+        "length bigint, rank_buckets bigint",
+    )
     key = F.xxhash64("doc_id", "piece", "ids_crc32")
-    dealt = pieces.withColumn("rank_bucket", F.pmod(key, F.lit(buckets)))
+    dealt = pieces.join(F.broadcast(buckets), "length")
+    dealt = dealt.withColumn("rank_bucket", F.pmod(key, F.col("rank_buckets")))
     same = Window.partitionBy("length", "rank_bucket")
     ranked = dealt.withColumn(
         "rank_within", F.row_number().over(same.orderBy("doc_id", "piece", "ids_crc32"))
