@@ -239,7 +239,9 @@ def _with_first_of_next(ranged: DataFrame) -> DataFrame:
         F.min(F.coalesce("text", F.lit(""))).alias("text")
     )
     first = first.join(F.broadcast(targets), "id_range")  # a row for each range
-    ahead = first.select("doc_id", "text", F.col("before").alias("id_range"), F.lit(1).alias("ahead"))
+    ahead = first.select(
+        "doc_id", "text", F.col("before").alias("id_range"), F.lit(1).alias("ahead")
+    )
     return rows.unionByName(ahead)
 
 
