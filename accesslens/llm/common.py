@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +48,16 @@ def text_or_empty(column: str | Column = "text") -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Number of words of a text, null as none."""
-    spaced = F.translate(text, "\t\n\x0b\f\r", "     ")
-    pieces = F.split(F.trim(spaced), " +", -1)
-    count = F.when(F.trim(spaced) == "", 0).otherwise(F.size(pieces))
-    return F.coalesce(count, F.lit(0)).cast("bigint")
+    """Number of words of a text, null as none.
+
+    Where blanks and line ends stand singly, words are counted by them, which takes a
+    small part of a pattern's time.
+    """
+    plain = F.trim(F.replace(text, F.lit("\n"), F.lit(" ")))
+    odd = reduce(or_, [plain.contains(c) for c in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    blanks = F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit("")))
+    count = F.when(plain == "", 0).when(odd, F.regexp_count(text, F.lit(WORD)))
+    return F.coalesce(count.otherwise(blanks + 1), F.lit(0)).cast("bigint")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import fresh, n_words, text_or_empty, written
+from accesslens.llm.common import fresh, n_words, written
 
 MAX_PATTERNS = 50_000
 CLOSING = 64  # documents behind the cut of a pattern that may close the gap
@@ -209,7 +209,11 @@ def _large(sized: DataFrame, most_small: dict[Pattern, int]) -> dict[Pattern, li
     keys = defaultdict(list)
     for row in found.select("members", "key").collect():
         keys[tuple(row["members"])].append(row["key"])
-    return {p: sorted(k, key=lambda key: (key["h"], key["doc_id"] or 0, key["size"])) for p, k in keys.items()}
+
+    def order(key) -> tuple:
+        return key["h"], key["doc_id"] or 0, key["size"]
+
+    return {pattern: sorted(found, key=order) for pattern, found in keys.items()}
 
 
 def _choose(large: list, words: int, rest: int) -> list:
@@ -298,7 +302,8 @@ def _cuts(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     found = found.select("members", "cut", closed["keys"].alias("closing"))
     found = wanted.drop("rest", "buckets").join(found, "members", "left")
     listed = F.concat("chosen", F.coalesce("closing", F.slice("chosen", 1, 0)))
-    return written(found.select("members", "copies", "most_small", "cut", listed.alias("listed")), "cuts")
+    found = found.select("members", "copies", "most_small", "cut", listed.alias("listed"))
+    return written(found, "cuts")
 
 
 def _repeats(key: Column, copies: str, most_small: str, cut: str, listed: str) -> Column:
@@ -377,7 +382,8 @@ def mix(
     marked = documents.withColumn(names["members"], members)
     cuts = cuts.withColumnsRenamed(names)
     marked = marked.join(F.broadcast(cuts), names["members"])  # MAX_PATTERNS rows at most
-    size = n_words(text_or_empty())
+    size = F.col(fresh(documents, "size"))
+    marked = marked.withColumn(fresh(documents, "size"), n_words(F.col("text")))
     times = _repeats(_key(seed, size), *[names[c] for c in CUT])
     each = F.explode(F.sequence(F.lit(1), F.when(size > 0, times).otherwise(0).cast("int")))
     repeated = fresh(documents, "nth")

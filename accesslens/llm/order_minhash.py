@@ -66,7 +66,7 @@ _ORDER = _constants(64, 3)
 class Hasher:
     """K-mers of texts; remembers words' hashes."""
 
-    def __init__(self, remembered: int = 1_000_000):
+    def __init__(self, remembered: int = 300_000):
         import xxhash
 
         self.hash = xxhash.xxh3_64_intdigest
@@ -218,7 +218,7 @@ def sketches(documents: DataFrame, entries: int, length: int, threshold: float)
                 if node in seen:
                     keys.append(None)
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 300_000:
                     seen.add(node)
                 keys.append(sketch(hasher.kmers(text or ""), entries, length, threshold))
             yield pa.RecordBatch.from_arrays(

@@ -45,6 +45,8 @@ def cut_pieces(
     end_id: int,
     chunks: str = "words",
     with_ids: bool = False,
+    remembered: int = tokens.REMEMBERED,
+    together: int = tokens.TOGETHER,
 ) -> DataFrame:
     """Token ids of every text and the end id, in pieces of at most ``max_tokens``.
 
@@ -52,16 +54,17 @@ def cut_pieces(
     piece: doc_id, piece, start, length, ids_crc32 and, if asked for, the ids as
     unsigned 32-bit little-endian numbers. Each row of the input has its own pieces,
     also if ids or whole rows are equal; no row is left out, an empty table has none.
+    ``remembered`` chunks and texts of ``together`` bytes bound the memory of a task.
     """
     schema = PIECES + (", ids binary" if with_ids else "")
     size = 4 * max_tokens
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(vocabulary, chunks, 4)
+        encoder = tokens.encoder(vocabulary, chunks, 4, remembered)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, group in tokens.groups(batch.column(1)):
+            for first, group in tokens.groups(batch.column(1), together):
                 rows = []
                 for i, found in enumerate(encoder.encode(group), first):
                     ids = found + end
@@ -329,9 +332,10 @@ def pack_documents(
     max_tokens: int = 4096,
     end_id: int = 1,
     with_ids: bool = False,
+    **memory: int,
 ) -> DataFrame:
     """Cuts, stores and packs all documents; see ``cut_pieces`` and ``pack_pieces``."""
-    pieces = cut_pieces(documents, vocabulary, max_tokens, end_id, with_ids=with_ids)
+    pieces = cut_pieces(documents, vocabulary, max_tokens, end_id, with_ids=with_ids, **memory)
     return pack_pieces(written(pieces, "pieces"), max_tokens)
 
 

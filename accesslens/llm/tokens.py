@@ -54,7 +54,7 @@ def vocabulary(name: str) -> str:
 class ChunkEncoder:
     """Encodes texts to the bytes of their ids, 2 or 4 bytes each (little-endian)."""
 
-    def __init__(self, path: str, chunks: str, width: int):
+    def __init__(self, path: str, chunks: str, width: int, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
@@ -65,6 +65,7 @@ class ChunkEncoder:
         self.spaced = chunks == "spaced"
         self.code, self.width = {2: "H", 4: "I"}[width], width
         self.known: dict[str, bytes] = {"": b""}
+        self.remembered = remembered
         # a full stop or comma after a letter or digit and before white space
         self.marks = dict(zip(".,", self._ids([".", ","]), strict=True))
 
@@ -119,7 +120,7 @@ class ChunkEncoder:
             if stem is not chunk:
                 ids = found[stem] if stem in found else known[stem]
                 found[chunk] = ids + self.marks[chunk[-1]]
-        room = max(0, REMEMBERED - len(known))
+        room = max(0, self.remembered - len(known))
         short = (item for item in found.items() if len(item[0]) <= LONGEST)
         known.update(islice(short, room))
         return found
@@ -172,12 +173,18 @@ class ChunkEncoder:
 
 
 @cache
-def encoder(path: str, chunks: str, width: int) -> ChunkEncoder:
+def encoder(
+    path: str, chunks: str, width: int, remembered: int = REMEMBERED
+) -> ChunkEncoder:
     """One encoder for each Python worker, so that its memory outlives a task."""
-    return ChunkEncoder(path, chunks, width)
+    return ChunkEncoder(path, chunks, width, remembered)
 
 
-def groups(texts: pa.Array, size: int = 12_000_000):
+#: Bytes of texts whose chunks are found together.
+TOGETHER = 12_000_000
+
+
+def groups(texts: pa.Array, size: int = TOGETHER):
     """Runs of texts of about so many bytes: (index of the first, texts)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start = 0

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from accesslens.llm.common import WORDS, shuffle_partitions
 
 SAMPLES = 64
-CELLS = 64  # of the histogram of ids, for each range of them
+RANGES = 4  # of ids for each task, so that tasks that are dealt more differ less
+CELLS = 16  # of the histogram of ids, for each range of them
 GROUP = 256  # texts that share a table of their words' values
 
 # Multipliers and shifts of a well-known 64-bit mixing function.
@@ -303,7 +304,7 @@ def edited_fingerprints(documents: DataFrame, samples: int = SAMPLES) -> DataFra
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
         )
 
-    rows = _with_first_of_next(_ranges(documents, n)).select(
+    rows = _with_first_of_next(_ranges(documents, RANGES * n)).select(
         "id_range", "ahead", "doc_id", "text"
     )
     dealt = rows.repartition(n, "id_range")

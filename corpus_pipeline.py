@@ -1,6 +1,8 @@
 """A training corpus from the documents table, in stages.
 
-Each stage reads what the one before it kept.
+Each stage reads what the one before it kept. Null and empty texts, long ones, ties, repeated
+rows, empty tables and further columns, whatever their names, are treated as the docstring of
+the stage's operator says; all stages but the last keep the columns they get.
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ from accesslens.llm import (
     order_minhash,
     pattern_packing,
 )
-from accesslens.llm.common import n_words, written
+from accesslens.llm.common import written
 from accesslens.llm.tokens import vocabulary
 from accesslens.session import ship_package
 
 MAX_TOKENS, END_ID = 4096, 1
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
+#: Chunks a Python worker remembers and bytes of text it takes at once when it encodes: less
+#: than usual, as the stages before have grown the executor it shares.
+REMEMBERED, TOGETHER = 150_000, 4_000_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +37,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that came earlier; those left without words go."""
-    cleaned = line_neighbourhood.deduplicate_lines(docs)
+    cleaned = line_neighbourhood.deduplicate_lines(docs, drop_empty=True)
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", n_chars)
-    return cleaned.where(n_words(F.col("text")) > 0)
+    return cleaned
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +58,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences."""
     words = vocabulary("word_bpe_49k.json")
-    return pattern_packing.pack_documents(docs, words, MAX_TOKENS, END_ID)
+    memory = {"remembered": REMEMBERED, "together": TOGETHER}
+    return pattern_packing.pack_documents(docs, words, MAX_TOKENS, END_ID, **memory)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
