@@ -154,6 +154,53 @@ def test_trees_add_spans_in_other_forms(spark):
     assert all(len(by_id[i]) == len(_base(rows[i][1])) for i in range(1200))
 
 
+def test_numbers_side_by_side(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(1200):
+        a, b, c = (rng.randrange(256) for _ in range(3))
+        rows.append((i, "\n".join([
+            f"call +1 ({a % 900 + 100}) 555-{i + 1000} or {a}.{b}.{c}.{i % 256}",
+            f"{_luhn(rng, True)} a\n{_luhn(rng, False)} b\n{rng.randrange(10**8, 10**10)} c",
+        ])))
+    cards = [_luhn(rng, True) for _ in range(7)]
+    wanted = {
+        5000: (f"{cards[0]} {cards[1]}", [("card", c) for c in cards[:2]]),
+        5001: ("+1 (843) 555-7672 170.106.47.218",
+               [("ip", "170.106.47.218"), ("phone", "+1 (843) 555-7672")]),
+        5002: (" ".join(cards[2:]), [("card", c) for c in cards[2:]]),
+    }
+    rows += [(i, text) for i, (text, _) in wanted.items()]
+    found = span_boosting.find_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    by_id = {r.doc_id: r.spans for r in found.collect()}
+    for i, (text, spans) in wanted.items():
+        assert [(s.kind, text[s.start : s.end]) for s in by_id[i]] == spans
+
+
+@pytest.mark.parametrize("together", [2_000, 5])
+def test_best_spans_first(spark, monkeypatch, together):
+    monkeypatch.setattr(span_boosting, "TOGETHER", together)
+    rng = random.Random(6)
+    rows = []
+    for text in range(20):
+        for _ in range(rng.randrange(40)):
+            start = rng.randrange(100)
+            rows.append((text, 0, "phone", start, start + rng.randrange(1, 12), False, rng.random()))
+        rows += [(text, 0, "ip", at, at + 5, True, 2.0) for at in rng.sample(range(100), 2)]
+    table = spark.createDataFrame(
+        rows, "h1 bigint, h2 bigint, kind string, start bigint, end bigint, base boolean, score double"
+    )
+    expected = set()
+    for text in range(20):
+        taken = [r for r in rows if r[0] == text and r[5]]
+        proposals = [r for r in rows if r[0] == text and not r[5]]
+        for row in sorted(proposals, key=lambda r: (round(r[6], 1), r[4] - r[3], r[6]), reverse=True):
+            if not any(_overlaps(row[2:5], t[2:5]) for t in taken):
+                taken.append(row)
+        expected |= {r[:6] for r in taken}
+    assert set(map(tuple, span_boosting._without_overlaps(table).collect())) == expected
+
+
 def test_redaction(spark):
     rows = [(1, "a é x@y.zz b"), (2, "no"), (3, None), (4, "x@y.zz, +12 345 678 90")]
     found = dict(map(tuple, span_boosting.redact(
