@@ -14,23 +14,25 @@ all k-mers of both, matched ones counted once.
 Equal texts are one node from the start. Among the nodes that share an entry, one is the
 hub with which the others are compared; the hub is the one with the most candidates,
 which in a group of edited copies is the text they were made from. Those that don't match
-it choose a new hub among themselves, until none is left or ``rounds`` have passed. So
-comparisons grow with the number of entries, not with the square of a group's size.
-Classes are the connected components of the links. As a link joins two texts that share
-several entries, with hubs of their own, one is lost only if in each shared entry a hub
-matched just one of both, or ``rounds`` hubs neither.
+it choose a new hub among themselves, until none is left or ``rounds`` have passed. Most
+entries are of one component then; of the others all pairs of nodes in different components
+are compared that weren't. Where an entry has many nodes, these pairs are found by the
+rarest k-mers of its texts: two that match in 0.8 of all share one of the rarest fifth. So
+comparisons don't grow with the square of the size of a group of copies, and no link between
+texts that share an entry is lost. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm.common import WORDS, fresh, text_or_empty, written
@@ -40,6 +42,8 @@ ENTRIES = 32
 LENGTH = 6
 THRESHOLD = 0.8
 ROUNDS = 6
+#: Nodes of an entry of several components up to which all its pairs are compared.
+FEW = 16
 
 # Multipliers and shifts of a well-known 64-bit mixing function.
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -345,9 +349,88 @@ def links(found: DataFrame, documents: DataFrame, threshold: float, rounds: int)
         left = written(left.select("key", "node", "degree"), "round")
         if left.isEmpty():
             break
+    alike = _all(results).where("alike")
+    parts = components(alike.select(F.col("low").alias("u"), F.col("high").alias("v")))
+    pairs = written(_open_pairs(active, parts, texts, threshold), "open")
+    pairs = pairs.join(_all(results), ["low", "high"], "left_anti").toDF("hub", "node")
+    found = verified(pairs, texts, threshold).select(low, high, "alike")
+    results.append(written(found, "verified"))
     return _all(results).where("alike").select(F.col("low").alias("u"), F.col("high").alias("v"))
 
 
+def _open_pairs(
+    active: DataFrame, parts: DataFrame, texts: DataFrame, threshold: float
+) -> DataFrame:
+    """(low, high): nodes of different components that share an entry and may be alike.
+
+    In entries of more than ``FEW`` nodes, only those that share one of their rarest k-mers.
+    """
+    nodes = active.select("key", "node").join(parts, "node", "left")
+    nodes = nodes.withColumn("component", F.coalesce("component", "node"))
+    mixed = nodes.groupBy("key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
+    )
+    mixed = mixed.where("a <> b").select("key", (F.col("n") <= FEW).alias("few"))
+    nodes = written(nodes.join(mixed, "key"), "mixed")
+    large = nodes.where("NOT few").select("node", "component").distinct()
+    rare = _rare_kmers(large, texts, threshold)
+    both = nodes.where("few").select("key", "node", "component")
+    return _across(both).unionByName(_across(written(rare, "rare"))).distinct()
+
+
+def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(key, node, component): the rarest k-mers of each text that others of ``nodes`` have.
+
+    Texts are alike if so many k-mers match that at most n - ceil(threshold * n) of one's
+    n don't; so of the n - ceil(threshold * n) + 1 that come first in any one order of all
+    k-mers, both have at least one in common. Rare ones come first here.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            rows = zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
+            for node, component, text in rows:
+                kmers = labelled(hasher.kmers(text)).view(np.int64)
+                n = len(kmers)
+                first = n - math.ceil(threshold * n - 1e-9) + 1
+                for at in range(0, n, 100_000):
+                    part = kmers[at : at + 100_000]
+                    same = [np.full(len(part), x, np.int64) for x in (node, component, first)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (part, *same)],
+                        names=["key", "node", "component", "first"],
+                    )
+
+    schema = "key bigint, node bigint, component bigint, first bigint"
+    kmers = nodes.join(texts, "node").select("node", "component", "text")
+    kmers = written(kmers.mapInArrow(over, schema), "kmers")
+    counts = kmers.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")
+    )
+    # k-mers of one component only join nothing, but take their places
+    ranked = kmers.join(counts, "key")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "key"))
+    ranked = ranked.withColumn("place", place)
+    return ranked.where("place <= first AND a <> b").select("key", "node", "component")
+
+
+def _across(grouped: DataFrame) -> DataFrame:
+    """(low, high) of nodes with equal keys and different components.
+
+    Components are paired first, so a large one is never joined with itself.
+    """
+    groups = grouped.select("key", "component").distinct()
+    other = groups.withColumnRenamed("component", "other")
+    paired = groups.join(other, "key").where("component < other")
+    one = paired.join(grouped, ["key", "component"]).select(
+        "key", F.col("other").alias("component"), F.col("node").alias("first")
+    )
+    pairs = one.join(grouped, ["key", "component"])
+    low, high = F.least("first", "node").alias("low"), F.greatest("first", "node").alias("high")
+    return pairs.select(low, high).distinct()
+
+
 def _all(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 

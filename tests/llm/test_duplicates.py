@@ -110,6 +110,27 @@ def test_a_large_group_of_edited_copies_is_one_class(spark):
     assert all(found[i] == i for i in range(400, 450))
 
 
+@pytest.mark.parametrize("few", [16, 100])
+def test_one_entry_of_many_groups(spark, monkeypatch, few):
+    """More groups than rounds, and a link between a node that matched a hub and one that didn't."""
+    monkeypatch.setattr(order_minhash, "FEW", few, raising=False)
+    rng = random.Random(12)
+    rows = []
+    for _ in range(20):
+        words = _words(rng, 100)
+        rows += [words, [*words[:-6], *_words(rng, 6)], [*_words(rng, 8), *words[8:]]]
+    rows = list(enumerate(map(" ".join, rows)))
+    found = [(i, order_minhash.node_of(t), [1]) for i, t in rows]
+    found = spark.createDataFrame(found, "doc_id bigint, node bigint, keys array<bigint>")
+    edges = order_minhash.links(found, _table(spark, rows), 0.8, order_minhash.ROUNDS)
+    parts = dict(map(tuple, order_minhash.components(edges).collect()))
+    classes = _brute_classes(rows)
+    assert len(set(classes.values())) == 20
+    nodes = {i: order_minhash.node_of(t) for i, t in rows}
+    assert all(parts.get(nodes[i]) == parts.get(nodes[c], -1) for i, c in classes.items())
+    assert len({parts[n] for n in nodes.values()}) == 20
+
+
 def test_order_counts():
     rng = random.Random(9)
     words = _words(rng, 400)
