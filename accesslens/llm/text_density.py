@@ -3,7 +3,9 @@
 A node's density is its characters per tag, lowered as more of them stand in links. The
 sum of its children's densities is largest for the node that holds the paragraphs of
 an article; the least density on the way from the body to that node is the threshold
-that further nodes beside it, and link-heavy ones inside it, have to reach.
+that further nodes beside it or beside one above it, and link-heavy ones inside it, have
+to reach. Text that stands directly in a node on the way stays, with inline elements that
+aren't mostly links.
 
 Elements that never hold an article's text (scripts, navigation, forms, ...) and those
 whose class, id or role says so are left out before densities are computed.
@@ -226,7 +228,10 @@ def measure(root: Node) -> list[Node]:
 
 
 def select(order: list[Node]) -> list[Node]:
-    """Roots of the content: the subtree with the largest sum and what belongs to it."""
+    """Roots of the content: the subtree with the largest sum and what belongs to it.
+
+    What stands beside it and does not belong to it is marked as dropped.
+    """
     body = next((n for n in order if n.tag == "body"), order[0])
     best = max(order, key=lambda n: n.sum)
     if best.sum <= 0:
@@ -240,17 +245,20 @@ def select(order: list[Node]) -> list[Node]:
         _drop_links(article, threshold)
         return [article]
     _drop_links(best, threshold)
-    if best.parent is None:
-        return [best]
-    beside = [c for c in best.parent.children if isinstance(c, Node) and not c.dropped]
+    top = body if body in path else path[-1]
+    way = set(path[: path.index(top)])
     heading = {"h1", "h2", "h3"}
-    return [
-        c
-        for c in beside
-        if c is best
-        or c.tag in heading
-        or (c.tag == best.tag and c.sum > 0 and c.density >= threshold)
-    ]
+    for node in path[1 : path.index(top) + 1]:
+        for c in node.children:
+            if not isinstance(c, Node) or c.dropped or c in way:
+                continue
+            inline = c.tag not in BLOCKS and c.link_chars <= 0.6 * c.chars
+            beside = node is best.parent and c.tag in heading
+            if inline or beside or c.chars and c.density >= threshold:
+                _drop_links(c, threshold)
+            else:
+                c.dropped = True
+    return [top]
 
 
 def _drop_links(root: Node, threshold: float) -> None:

@@ -43,6 +43,19 @@ def test_main_text(name):
     assert text_density.main_text(html) == text
 
 
+def test_text_beside_the_densest_node():
+    inner = "".join(f"<p>Paragraph {i} {'with words ' * 12}end</p>" for i in range(10))
+    lead, end = "lead words " * 40, "last words " * 40
+    links = "".join(f"<li><a href='/{i}'>link {i}</a></li>" for i in range(30))
+    kept = "\n".join(f"Paragraph {i} {'with words ' * 12}end" for i in range(10))
+    for tag in ("p", "blockquote", "pre", "div"):
+        html = (
+            f"<body><ul>{links}</ul><div><{tag}>{lead}</{tag}><div>{inner}</div></div>"
+            f"<{tag}>{end}</{tag}></body>"
+        )
+        assert text_density.main_text(html) == f"{lead.strip()}\n{kept}\n{end.strip()}", tag
+
+
 def test_pages_of_any_kind(spark):
     rows = [(i, "u", html, "x") for i, (html, _) in enumerate(PAGES.values())]
     rows += [(None, None, None, "x"), (0, "u", PAGES["article"][0], "x")]
