@@ -177,6 +177,18 @@ def test_numbers_side_by_side(spark):
         assert [(s.kind, text[s.start : s.end]) for s in by_id[i]] == spans
 
 
+def test_few_examples_of_a_kind(spark):
+    """Too few to calibrate, or rare among very many plain numbers."""
+    for plain, rows in ((30, 20_000), (4_000, 300)):
+        rng = random.Random(7)
+        texts = [f"{rng.randrange(10**8, 10**10)} is a number" for _ in range(plain)]
+        texts += [f"at {rng.randrange(256)}.{i}.7.{i + 9} or 1.{i}.300.4" for i in range(12)]
+        texts.append("seen at 97[.]51[.]17[.]173 today")
+        table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        found = span_boosting.find_spans(table, rows).where(f"doc_id = {len(texts) - 1}").first()
+        assert [(s.kind, s.start, s.end, s.base) for s in found.spans] == [("ip", 8, 26, False)]
+
+
 @pytest.mark.parametrize("together", [2_000, 5])
 def test_best_spans_first(spark, monkeypatch, together):
     monkeypatch.setattr(span_boosting, "TOGETHER", together)
