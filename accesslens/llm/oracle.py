@@ -32,7 +32,26 @@ WITH raw AS (
 )
 """
 
+#: Every pair of a query and another vector, scored and ranked.
+INNER_PRODUCTS = r"""
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS terms
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.terms, c.terms)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+    FROM scored
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_max_score": INNER_PRODUCTS,
     "op10_line_neighbourhood": LINES
     + """
     SELECT doc_id, count(*)::INTEGER AS n_lines,

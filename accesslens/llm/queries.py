@@ -14,6 +14,7 @@ from accesslens.llm import (
     compression_bands,
     flow_mixing,
     line_neighbourhood,
+    max_score,
     order_minhash,
     pattern_packing,
     span_boosting,
@@ -36,6 +37,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -102,6 +108,12 @@ def op10_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_neighbourhood.deduplicate_lines(docs, counts=True)
 
 
+def op11_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all other vectors for every fiftieth one."""
+    vectors = max_score.integer_terms(embeddings(spark, sf_dir))
+    return max_score.search(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_binary_records": op2_binary_records,
@@ -113,4 +125,5 @@ QUERIES = {
     "op8_flow_mixing": op8_flow_mixing,
     "op9_span_boosting": op9_span_boosting,
     "op10_line_neighbourhood": op10_line_neighbourhood,
+    "op11_max_score": op11_max_score,
 }
