@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df``, written to a new folder of the cluster's shared one and read again.
 
     Cuts the lineage in a way that survives a lost executor: later steps read files
@@ -26,7 +26,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, f"llm-{purpose}")
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -19,10 +19,11 @@ from accesslens.llm import (
     pattern_packing,
     span_boosting,
     text_density,
+    token_alignment,
     url_boosting,
     weighted_sampling,
 )
-from accesslens.llm.common import required
+from accesslens.llm.common import required, written
 from accesslens.llm.tokens import vocabulary
 from accesslens.session import new_folder, ship_package
 
@@ -114,6 +115,16 @@ def op11_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_score.search(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of each document, with a digest of its groups and its links' counts."""
+    letters, pieces = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    rows = token_alignment.alignments(documents(spark, sf_dir), letters, pieces)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = rows.withColumn("groups", digest).withColumnRenamed("groups", "groups_sha256")
+    stored = written(rows, "alignments", compression="zstd")
+    return token_alignment.with_link_counts(stored, token_alignment.n_pieces(pieces)).drop("row")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_binary_records": op2_binary_records,
@@ -126,4 +137,5 @@ QUERIES = {
     "op9_span_boosting": op9_span_boosting,
     "op10_line_neighbourhood": op10_line_neighbourhood,
     "op11_max_score": op11_max_score,
+    "op13_token_alignment": op13_token_alignment,
 }
