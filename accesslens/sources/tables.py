@@ -122,11 +122,11 @@ def compact(
         old = [f"{root}/{t}/batch_id={n}" for t in (*tables, COMMITTED) for n in covered]
         old += [f"{root}/{COMPACTED}_tables/{n}" for n in before[:-1]]
         old += [f"{root}/{COMPACTED}/batch_id={n}" for n in before[:-1]]
-        _delete(spark, old)
+        delete(spark, old)
     return last
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
+def delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
