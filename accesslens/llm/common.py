@@ -17,15 +17,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
 
 
-def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+def written(
+    df: DataFrame, purpose: str, parent: str | None = None, **options: str
+) -> DataFrame:
     """``df``, written to a new folder of the cluster's shared one and read again.
 
     Cuts the lineage in a way that survives a lost executor: later steps read files
     that all executors see. The folders are named ``llm-*`` and stay until the owner
-    of the shared folder clears it.
+    of the shared folder clears it; those below a ``parent`` go when its owner deletes it.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, f"llm-{purpose}")
+    folder = f"{parent}/{purpose}" if parent else new_folder(spark, f"llm-{purpose}")
     df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -18,6 +18,7 @@ from accesslens.llm import (
     order_minhash,
     pattern_packing,
     span_boosting,
+    spelling_groups,
     text_density,
     token_alignment,
     url_boosting,
@@ -115,6 +116,10 @@ def op11_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_score.search(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.variant_groups(documents(spark, sf_dir))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of each document, with a digest of its groups and its links' counts."""
     letters, pieces = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
@@ -137,5 +142,6 @@ QUERIES = {
     "op9_span_boosting": op9_span_boosting,
     "op10_line_neighbourhood": op10_line_neighbourhood,
     "op11_max_score": op11_max_score,
+    "op12_spelling_groups": op12_spelling_groups,
     "op13_token_alignment": op13_token_alignment,
 }
