@@ -136,7 +136,7 @@ def _level(spelled: DataFrame, states: DataFrame | None, depth: int) -> DataFram
     """
     here = spelled.where(F.length("m") > depth).withColumn("node", F.substring("m", 1, depth))
     edges = here.select("node", _letter(depth).alias("letter")).groupBy("node")
-    edges = edges.agg(F.array_join(F.array_sort(F.collect_set("letter")), "").alias("letters"))
+    edges = edges.agg(F.collect_set("letter").alias("letters"))
     fresh_states = here.where(F.col("enters") <= depth).select(
         "m", F.lit(depth).alias("place"), "node", F.lit(0).alias("edits")
     )
@@ -145,7 +145,7 @@ def _level(spelled: DataFrame, states: DataFrame | None, depth: int) -> DataFram
         carried = states.select("m", "place", "node", F.lit(1).alias("edits"))
         moving = moving.unionByName(carried)
     own, after = _letter(F.col("place")), _letter(F.col("place") + 1)
-    has_own = F.contains("letters", own)
+    has_own = F.array_contains("letters", own)
 
     def step(letter: Column, places: int) -> Column:
         done = letter == END
@@ -157,9 +157,9 @@ def _level(spelled: DataFrame, states: DataFrame | None, depth: int) -> DataFram
 
     nothing = F.array().cast("array<struct<place:int,node:string,done:boolean>>")
     followed = F.when(has_own, F.array(step(own, 1))).otherwise(nothing)
-    larger = F.filter(F.split("letters", ""), lambda c: (c > own) & (c != END) & (c != ""))
+    larger = F.filter("letters", lambda c: (c > own) & (c != END))
     replaced = F.when(own != END, F.transform(larger, lambda c: step(c, 1))).otherwise(nothing)
-    past = (own != END) & (own != after) & F.contains("letters", after)
+    past = (own != END) & (own != after) & F.array_contains("letters", after)
     deleted = F.when(past, F.array(step(after, 2))).otherwise(nothing)
     branched = F.concat(replaced, deleted)
     joined = moving.join(edges, "node")
