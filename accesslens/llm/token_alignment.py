@@ -273,8 +273,9 @@ def align_texts(texts: pa.Array, aligned: Aligner) -> tuple[list[pa.Array], np.n
     pairs = distinct[keys % n] if len(keys) else np.zeros(0, np.int64)
     columns = [pa.array(totals[:, i], pa.int64()) for i in range(4)]
     columns += [joined, _pair_lists(offsets, pairs, times)]
-    all_times = np.bincount(keys % n, weights=times, minlength=len(distinct))[: len(distinct)]
-    return columns, distinct, all_times.astype(np.int64)
+    all_times = np.bincount(keys % n, weights=times, minlength=n)[: len(distinct)]
+    linked_here = all_times > 0  # others are only of chunks of texts without tokens
+    return columns, distinct[linked_here], all_times[linked_here].astype(np.int64)
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
