@@ -24,7 +24,8 @@ from accesslens.functions import fields
 from accesslens.operators import quality
 from accesslens.operators.not_found import NOT_FOUND
 from accesslens.operators.traffic import OK, average_requests, counted, most_frequent
-from accesslens.sources.tables import compact, read_batch, read_committed, write_batch
+from accesslens.sources.commits import Snapshot, snapshot
+from accesslens.sources.tables import compact, read_batch, read_snapshot, write_batch
 
 # Sums of sizes and of their squares are exact: decimals hold 10^12 squares of sizes up to
 # 10^13 without rounding.
@@ -33,6 +34,14 @@ _SIZE = "decimal(19,0)"
 _MISSING = "missing_"
 
 
+#: What the counts of each table are by.
+KEYS = {
+    "hours": ("date", "hour", "status"),
+    "host_days": ("date", "host"),
+    "endpoints": ("endpoint", "status"),
+}
+
+
 @dataclass(frozen=True)
 class Partials:
     hours: DataFrame
@@ -94,9 +103,13 @@ def write_partials(
         return Partials(*pool.map(inheritable_thread_target(spark)(write), names))
 
 
-def read_partials(spark: SparkSession, root: str) -> Partials:
-    """Counts of all committed batches, so the three tables are of the same ones."""
-    return Partials(*[read_committed(spark, root, m.name) for m in members(Partials)])
+def read_partials(spark: SparkSession, root: str, now: Snapshot | None = None) -> Partials:
+    """Counts of all committed batches; the three tables are of one snapshot.
+
+    By default that of now, from ``commits.snapshot``.
+    """
+    now = now or snapshot(spark, root)
+    return Partials(*[read_snapshot(spark, now, m.name) for m in members(Partials)])
 
 
 def compact_results(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
@@ -105,17 +118,12 @@ def compact_results(spark: SparkSession, root: str, upto: int | None = None) ->
     Partial counts are added up. Finished results of a batch stay its own, as they
     don't add up; only their files become few.
     """
-    keys = {
-        "hours": ("date", "hour", "status"),
-        "host_days": ("date", "host"),
-        "endpoints": ("endpoint", "status"),
-    }
-    tables = {name: lambda rows, by=by: _added_up(rows, by) for name, by in keys.items()}
+    tables = {name: lambda rows, by=by: added_up(rows, by) for name, by in KEYS.items()}
     tables |= {name: lambda rows: rows for name in RESULT_TABLES}
     return compact(spark, root, tables, upto)
 
 
-def _added_up(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def added_up(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Counts of several batches as those of one, the last of them."""
     how = {"size_min": F.min, "size_max": F.max, "batch_id": F.max}
     values = [c for c in rows.columns if c not in keys]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The table that says which batches are whole.
-COMMITTED = "committed_batches"
-# The table that says up to which batches tables were compacted.
+from accesslens.sources import commits
+
+# Folders of compacted tables, and of batches that were written again after their commit.
 COMPACTED = "compacted"
+AGAIN = "again"
 
 
 def write_batch(result: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -47,48 +50,89 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Say that every table has the rows of a batch. To be called when all are written."""
-    done = spark.range(1).select(F.current_timestamp().alias("committed"))
-    write_batch(done, root, COMMITTED, batch_id)
+def commit_batch(spark: SparkSession, root: str, batch_id: int, place: str = "") -> None:
+    """Say that every table has the rows of a batch. To be called when all are written.
+
+    ``place`` is the folder below ``root`` that has the tables, if it isn't ``root``.
+    """
+    commits.commit(spark, root, {"batch": batch_id, "place": place})
 
 
-def batch_ids(spark: SparkSession, root: str, table: str = COMMITTED) -> list[int]:
-    """Batches of a table in order, by the names of its folders; no file is read.
+def place_of_batch(spark: SparkSession, root: str, batch_id: int) -> str | None:
+    """Where a batch is to be written: '' for the tables' own folders.
 
-    Only folders whose writer has finished count.
+    What is committed stays as it is for those who read it, so a batch that is written again
+    after its commit goes to a new place. None if it was compacted: it can't be taken out any more,
+    and what comes again is what a stream repeats that lost its own note of it.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    folders = [status.getPath() for status in files.listStatus(path)]
-    numbers = {f: f.getName().removeprefix("batch_id=") for f in folders}
-    return sorted(
-        int(number)
-        for folder, number in numbers.items()
-        if number.isdigit() and files.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-    )
+    now = commits.snapshot(spark, root)
+    if now.covers(batch_id):
+        return None
+    return f"{AGAIN}/{batch_id}-{uuid.uuid4().hex}" if batch_id in now.batches else ""
+
+
+def batch_ids(spark: SparkSession, root: str, table: str | None = None) -> list[int]:
+    """Committed batches that are not compacted, in order, by the log.
+
+    Or those of a ``table`` that is not committed to, by one listing of its folders;
+    only those whose writer has finished count.
+    """
+    if table is None:
+        return commits.snapshot(spark, root).ids()
+    files = commits.Files(spark, f"{root}/{table}")
+    numbers = (name.removeprefix("batch_id=") for name in files.names())
+    ids = sorted(int(number) for number in numbers if number.isdigit())
+    # only the last one can be unfinished: a stream writes one after the other
+    while ids and "_SUCCESS" not in commits.Files(spark, f"{root}/{table}/batch_id={ids[-1]}").names():
+        ids.pop()
+    return ids
+
+
+def read_snapshot(spark: SparkSession, now: commits.Snapshot, table: str) -> DataFrame:
+    """Rows of a result table as of a snapshot, with their ``batch_id``.
+
+    Tables of one snapshot fit together. Only the folders of its batches are listed and read;
+    rows that were compacted have the last of their batches.
+    """
+    parts = []
+    if now.compacted is not None:
+        parts.append(spark.read.parquet(f"{now.root}/{now.compacted_place}/{table}"))
+    for place in sorted(set(now.batches.values())):
+        parts.append(read_place(spark, now.root, place, table, [
+            n for n in now.ids() if now.batches[n] == place
+        ]))
+    if not parts:
+        return read_table(spark, now.root, table).limit(0)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_place(
+    spark: SparkSession, root: str, place: str, table: str, batches: list[int]
+) -> DataFrame:
+    """Rows of some batches of a table that are in one place, with their ``batch_id``."""
+    base = f"{root}/{place}/{table}" if place else f"{root}/{table}"
+    rows = spark.read.option("basePath", base).parquet(*[f"{base}/batch_id={n}" for n in batches])
+    return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def read_committed(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Rows of a result table of the batches that are committed, with their ``batch_id``.
+    """Rows of a result table of the batches that are committed now, with their ``batch_id``.
 
-    A batch of which some tables are written and others not is in none, so what is
-    read of several tables fits together. Batches that were compacted are read from
-    the last compaction, later ones from their folders.
+    For several tables take one snapshot and read all from it.
     """
-    compacted = batch_ids(spark, root, COMPACTED)
-    last = compacted[-1] if compacted else -1
-    later = [n for n in batch_ids(spark, root) if n > last]
-    if not compacted:
-        return read_table(spark, root, table).filter(F.col("batch_id").isin(later))
-    rows = spark.read.parquet(f"{root}/{COMPACTED}_tables/{last}/{table}")
-    if not later:
-        return rows
-    added = read_table(spark, root, table).filter(F.col("batch_id").isin(later))
-    return rows.unionByName(added)
+    return read_snapshot(spark, commits.snapshot(spark, root), table)
+
+
+def read_as_of(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    batch_id: int | None = None,
+    version: int | None = None,
+) -> DataFrame:
+    """Rows of a result table as they were: after a commit, or without batches after one."""
+    now = commits.snapshot(spark, root, version)
+    return read_snapshot(spark, now if batch_id is None else now.until(batch_id), table)
 
 
 def compact(
@@ -102,30 +146,47 @@ def compact(
     ``upto`` is the last batch to take, by default the last that is committed. A table's
     function makes fewer rows of its own, if they add up. The compaction counts when all
     tables are written; until then, and if it fails, readers see the former state. Folders
-    that the compaction before this one covers are deleted, so a reader has the time
-    between two compactions to finish. Returns the last batch it covers.
+    that the compaction before this one covers are deleted with their part of the log, so a
+    reader has the time between two compactions to finish. Returns the last batch it covers.
     """
-    committed = batch_ids(spark, root)
-    taken = [n for n in committed if upto is None or n <= upto]
-    before = batch_ids(spark, root, COMPACTED)
-    if not taken or (before and taken[-1] <= before[-1]):
-        return before[-1] if before else None
+    now = commits.snapshot(spark, root)
+    taken = [n for n in now.ids() if upto is None or n <= upto]
+    if not taken:
+        return now.compacted
     last = taken[-1]
+    place = f"{COMPACTED}_tables/{last}"
+    upto_last = now.until(last)
     for table, merged in tables.items():
-        rows = read_committed(spark, root, table).filter(F.col("batch_id") <= last)
-        few = merged(rows).hint("rebalance")
-        few.write.mode("overwrite").parquet(f"{root}/{COMPACTED}_tables/{last}/{table}")
-    done = spark.range(1).select(F.current_timestamp().alias("compacted"))
-    write_batch(done, root, COMPACTED, last)
-    if before:
-        covered = [n for n in committed if n <= before[-1]]
-        old = [f"{root}/{t}/batch_id={n}" for t in (*tables, COMMITTED) for n in covered]
-        old += [f"{root}/{COMPACTED}_tables/{n}" for n in before[:-1]]
-        old += [f"{root}/{COMPACTED}/batch_id={n}" for n in before[:-1]]
-        delete(spark, old)
+        few = merged(read_snapshot(spark, upto_last, table)).hint("rebalance")
+        few.write.mode("overwrite").parquet(f"{root}/{place}/{table}")
+    entry = {"upto": last, "place": place, "gone": now.compacted}
+    if commits.commit(spark, root, entry, based_on=upto_last) is None:
+        return commits.snapshot(spark, root).compacted  # a batch came again meanwhile
+    if now.compacted is not None:
+        _delete_covered(spark, root, list(tables), now.compacted)
+        commits.forget(spark, root, now.version)
     return last
 
 
+def _delete_covered(spark: SparkSession, root: str, tables: list[str], upto: int) -> None:
+    """Delete batches up to one that was compacted, and compactions before that one."""
+
+    def covered(folder: str, number: Callable[[str], str], below: int) -> list[str]:
+        numbers = {name: number(name) for name in commits.Files(spark, folder).names()}
+        return [
+            f"{folder}/{name}" for name, n in numbers.items() if n.isdigit() and int(n) < below
+        ]
+
+    old = [
+        path
+        for table in tables
+        for path in covered(f"{root}/{table}", lambda s: s.removeprefix("batch_id="), upto + 1)
+    ]
+    old += covered(f"{root}/{AGAIN}", lambda s: s.partition("-")[0], upto + 1)
+    old += covered(f"{root}/{COMPACTED}_tables", str, upto)
+    delete(spark, old)
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     for name in paths:

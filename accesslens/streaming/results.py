@@ -16,7 +16,7 @@ from accesslens.plans.partials import (
     partial_counts,
     write_partials,
 )
-from accesslens.sources.tables import commit_batch, write_batch
+from accesslens.sources.tables import commit_batch, place_of_batch, write_batch
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -30,7 +30,8 @@ def write_results(
     tables are computed from those, ``parallel`` at a time because each is small.
     Everything written belongs to the batch id, so a batch that is retried after
     a failure replaces what it had written. The batch is committed when all is written;
-    readers leave out what is not.
+    readers leave out what is not. Written again after that, it counts in place of the
+    first; snapshots taken before keep that one. A batch that was compacted stays as it is.
 
     With ``keep`` the fields that are counted are kept until the counts are written, so
     that lines are read and parsed once. Logs that were landed as Parquet, such as
@@ -40,23 +41,27 @@ def write_results(
     spark = logs.sparkSession
     if logs.isEmpty():  # reads one row and parses none
         return
+    place = place_of_batch(spark, root, batch_id)
+    if place is None:
+        return
+    folder = f"{root}/{place}" if place else root
     counted = narrow(logs)
     if keep:
         counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        partials = write_partials(spark, partial_counts(counted), root, batch_id)
+        partials = write_partials(spark, partial_counts(counted), folder, batch_id)
     finally:
         if keep:
             counted.unpersist()
 
     def write_table(table: str) -> None:
-        write_batch(RESULT_TABLES[table](partials), root, table, batch_id)
+        write_batch(RESULT_TABLES[table](partials), folder, table, batch_id)
 
     with ThreadPoolExecutor(parallel) as pool:
         # Threads that inherit the query's job group, so that stopping it stops
         # their jobs too.
         list(pool.map(inheritable_thread_target(spark)(write_table), RESULT_TABLES))
-    commit_batch(spark, root, batch_id)
+    commit_batch(spark, root, batch_id, place)
 
 
 def start_metrics(
