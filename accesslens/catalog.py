@@ -9,6 +9,7 @@ cluster's shared checkpoint folder, and run a real streaming query over it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,11 @@ from accesslens.functions import fields
 from accesslens.functions.parse import parse_logs, typed_times
 from accesslens.operators import not_found, quality, traffic
 from accesslens.plans import partials as exact
-from accesslens.plans import rollup
+from accesslens.plans import one_scan, rollup, totals
 from accesslens.session import new_folder
 from accesslens.sources.samples import event_lines, order_lines
 from accesslens.sources.streams import open_stream
-from accesslens.sources.tables import read_table, write_batch
+from accesslens.sources.tables import read_as_of, read_table, write_batch
 from accesslens.sources.text import read_lines, write_lines
 from accesslens.streaming import replay, results, stateful
 
@@ -309,6 +310,57 @@ def read_result_table(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "http_status")
 
 
+def read_results_as_of(spark: SparkSession, root: str) -> DataFrame:
+    """A result table as it was after the second batch."""
+    return read_as_of(spark, root, "http_status", batch_id=1)
+
+
+def daily_hosts_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosts per day from totals that were updated after each batch.
+
+    The third batch comes with the lines of the second first, and then again with its own.
+    """
+    root = new_folder(spark, "totals")
+    ranges = replay.batch_ranges(_events(spark, sf), "event_id", BATCHES)
+    order = [(n, ids) for n, ids in enumerate(ranges)]
+    order[2:2] = [(2, ids) for ids in ranges[1:2]]
+    for n, ids in order:
+        batch = parse_logs(_batch(spark, sf, ids), "iso")
+        results.write_results(batch, root, n, keep=False)
+        totals.update_totals(spark, root)
+    return exact.daily_hosts(totals.read_totals(spark, root))
+
+
+#: Analyses with a key and a count, under the names they have as queries.
+COUNTED = {
+    "status_frequency": "status",
+    "top_ok_endpoints": "endpoint",
+    "host_frequency": "host",
+    "top_endpoints": "endpoint",
+    "top_error_endpoints": "endpoint",
+    "daily_unique_hosts": "day",
+    "top_not_found_endpoints": "endpoint",
+    "top_not_found_hosts": "host",
+    "not_found_by_day": "day",
+    "top_not_found_days": "day",
+    "not_found_by_hour": "hour",
+    "busiest_endpoint_by_weekday": "day_of_week",
+    "not_found_by_weekday": "day_of_week",
+}
+
+
+def report_in_two_scans(spark: SparkSession, sf: str) -> DataFrame:
+    """The analyses that have a key and a count, one below the other, of the same counts."""
+    analyses = one_scan.write_report(logs(spark, sf), new_folder(spark, "report"))
+    rows = [
+        analyses[name].select(
+            F.lit(name).alias("analysis"), F.col(key).cast("string").alias("key"), "count"
+        )
+        for name, key in COUNTED.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def close_unique_host_count(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the approximate number of hosts is within 5 % of the exact one."""
     table = clean_logs(spark, sf)
@@ -333,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "stamp_ingest_time": stamp_ingest_time,
     "sql_over_logs": sql_over_logs,
     "read_result_table": _stored(read_result_table),
+    "read_results_as_of": _stored(read_results_as_of),
     "append_result_table": append_result_table,
     "replay_lines_to_batches": replay_lines_to_batches,
     "stream_resume_from_checkpoint": stream_resume_from_checkpoint,
@@ -405,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "top_not_found_days": _on(clean_logs, not_found.top_not_found_days),
     "not_found_by_hour": _on(clean_logs, not_found.not_found_by_hour),
     "not_found_by_weekday": _on(clean_logs, not_found.not_found_by_weekday),
+    "report_in_two_scans": report_in_two_scans,
     # streams
     "stream_all_metrics": stream_all_metrics,
     "stream_status_complete": stream_status_complete,
@@ -431,6 +485,7 @@ QUERIES: dict[str, Query] = {
         lambda p: exact.unique_hosts(p).agg(F.count(F.lit(1)).alias("unique_hosts"))
     ),
     "daily_hosts_exact": _merged(exact.daily_hosts),
+    "daily_hosts_incremental": daily_hosts_incremental,
     "avg_daily_exact": _merged(exact.avg_daily),
     "content_size_merged": _merged(exact.content_sizes, *SIZE_DOUBLES),
 }

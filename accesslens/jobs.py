@@ -4,6 +4,7 @@
     spark-submit ... accesslens/jobs.py stream broker:9092 logs hdfs:///output
     spark-submit ... accesslens/jobs.py results hdfs:///output hdfs:///report
     spark-submit ... accesslens/jobs.py compact hdfs:///output
+    spark-submit ... accesslens/jobs.py totals  hdfs:///output hdfs:///report
     spark-submit ... accesslens/jobs.py publish hdfs:///logs/access.log broker:9092 logs
 
 ``stream`` and ``publish`` need Spark's Kafka connector (``--packages``).
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.functions import fields
 from accesslens.functions.parse import parse_logs
-from accesslens.plans import partials, rollup
-from accesslens.plans.report import report
+from accesslens.plans import partials, rollup, totals
+from accesslens.plans.one_scan import write_report
 from accesslens.session import build_session
 from accesslens.sources.streams import MAX_OFFSETS, open_stream, publish_lines
 from accesslens.sources.tables import land_logs
@@ -36,8 +37,9 @@ def run_batch(
 ) -> None:
     """Write the parsed logs to ``root/logs`` and every analysis next to them.
 
-    Lines are parsed once; the analyses read the columns they use of what was
-    landed. Run again, it replaces what it wrote.
+    Lines are parsed once, and what was landed is counted in two scans of the columns that are
+    used; the analyses are made of the counts in ``root/counts``. Run again, it replaces what
+    it wrote.
     """
     parsed = parse_logs(lines, style)
     if style == "iso":  # analyses of weekdays need them; when it was read says nothing
@@ -45,7 +47,7 @@ def run_batch(
         parsed = parsed.select(weekday, "time", *parsed.columns[1:2], *parsed.columns[3:])
     land_logs(parsed, f"{root}/logs", by_date)
     landed = spark.read.parquet(f"{root}/logs").select(*parsed.columns)
-    for name, result in report(landed).items():
+    for name, result in write_report(landed, f"{root}/counts").items():
         result.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
@@ -91,6 +93,15 @@ def run_results(spark: SparkSession, root: str, output: str) -> None:
         summed(spark, root).write.mode("overwrite").parquet(f"{output}/summed/{name}")
 
 
+def run_totals(spark: SparkSession, root: str, output: str | None = None) -> None:
+    """Add newer batches of a stream below ``root`` to its totals; write their results."""
+    totals.update_totals(spark, root)
+    if output:
+        counts = totals.read_totals(spark, root)
+        for name, result in EXACT.items():
+            result(counts).write.mode("overwrite").parquet(f"{output}/exact/{name}")
+
+
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -122,6 +133,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     smaller.add_argument("input")
     smaller.add_argument("--upto", type=int, help="last batch to take")
 
+    newer = jobs.add_parser("totals", help="add newer batches to a stream's totals")
+    newer.add_argument("input")
+    newer.add_argument("output", nargs="?", help="where to write their results")
+
     publish = jobs.add_parser("publish", help="send the lines of files to a topic")
     publish.add_argument("input")
     publish.add_argument("servers")
@@ -139,6 +154,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         run_results(spark, job.input.rstrip("/"), job.output.rstrip("/"))
     elif job.job == "compact":
         partials.compact_results(spark, job.input.rstrip("/"), job.upto)
+    elif job.job == "totals":
+        run_totals(spark, job.input.rstrip("/"), job.output and job.output.rstrip("/"))
     elif job.job == "publish":
         publish_lines(read_lines(spark, job.input), job.servers, job.topic)
     else:

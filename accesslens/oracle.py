@@ -238,6 +238,9 @@ ORACLE: dict[str, str] = {
         " CAST(sum(content_size) AS BIGINT) AS bytes FROM logs GROUP BY method, status"
     ),
     "read_result_table": _on_batches(f"SELECT * FROM {_per_batch('status')}"),
+    "read_results_as_of": _on_batches(
+        f"SELECT * FROM {_per_batch('status', 'batch_id <= 1')}"
+    ),
     "append_result_table": _on_batches(f"SELECT * FROM {_per_batch('status')}"),
     "replay_lines_to_batches": _on_lines(
         f"SELECT CAST({_batch(4)} AS BIGINT) AS batch_id, value FROM lines", "iso"
@@ -443,6 +446,28 @@ FROM (
         "iso",
     ),
     "daily_hosts_exact": _on_parsed(_daily_hosts(_DAY, "parsed"), "iso"),
+    "daily_hosts_incremental": _on_parsed(_daily_hosts(_DAY, "parsed"), "iso"),
     "avg_daily_exact": _on_parsed(_avg_daily(_DAY, "parsed"), "iso"),
     "content_size_merged": _on_parsed(f"SELECT {_SIZES} FROM parsed", "iso"),
 }
+
+#: Keys of the analyses that have a key and a count.
+_COUNTED = {
+    "status_frequency": "status",
+    "top_ok_endpoints": "endpoint",
+    "host_frequency": "host",
+    "top_endpoints": "endpoint",
+    "top_error_endpoints": "endpoint",
+    "daily_unique_hosts": "day",
+    "top_not_found_endpoints": "endpoint",
+    "top_not_found_hosts": "host",
+    "not_found_by_day": "day",
+    "top_not_found_days": "day",
+    "not_found_by_hour": "hour",
+    "busiest_endpoint_by_weekday": "day_of_week",
+    "not_found_by_weekday": "day_of_week",
+}
+ORACLE["report_in_two_scans"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS analysis, CAST({key} AS VARCHAR) AS key, count FROM ({ORACLE[name]})"
+    for name, key in _COUNTED.items()
+)

@@ -31,7 +31,7 @@ from accesslens.sources.tables import compact, read_batch, read_snapshot, write_
 # 10^13 without rounding.
 _EXACT = "decimal(38,0)"
 _SIZE = "decimal(19,0)"
-_MISSING = "missing_"
+MISSING = "missing_"
 
 
 #: What the counts of each table are by.
@@ -49,39 +49,45 @@ class Partials:
     endpoints: DataFrame
 
 
-def partial_counts(logs: DataFrame) -> Partials:
-    """The three tables of counts of a log table, each reading only its columns."""
+def count_hours(logs: DataFrame, *others: Column) -> DataFrame:
+    """Requests, size moments and missing values per date, hour and status, and ``others``."""
     date = F.col("time").cast("date").alias("date")
     size = F.col("content_size")
-    requests = F.count(F.lit(1)).alias("requests")
     square = size.cast(_SIZE) * size.cast(_SIZE)
-    hours = logs.groupBy(date, fields.hour("time").alias("hour"), "status").agg(
-        requests,
+    return logs.groupBy(date, fields.hour("time").alias("hour"), "status").agg(
+        F.count(F.lit(1)).alias("requests"),
         F.count(size).alias("sized"),
         F.sum(size.cast(_SIZE)).alias("size_sum"),
         F.sum(square.cast(_EXACT)).alias("size_squares"),
         F.min(size).alias("size_min"),
         F.max(size).alias("size_max"),
-        *[F.count_if(missing).alias(_MISSING + c) for c, missing in _misses(logs)],
+        *[F.count_if(missing).alias(MISSING + c) for c, missing in _misses(logs)],
+        *others,
     )
+
+
+def partial_counts(logs: DataFrame) -> Partials:
+    """The three tables of counts of a log table, each reading only its columns."""
+    date = F.col("time").cast("date").alias("date")
+    requests = F.count(F.lit(1)).alias("requests")
     host_days = logs.groupBy(date, "host").agg(
         requests, F.count_if(F.col("status") == NOT_FOUND).alias("not_found")
     )
     endpoints = logs.groupBy("endpoint", "status").agg(requests)
-    return Partials(hours, host_days, endpoints)
+    return Partials(count_hours(logs), host_days, endpoints)
 
 
 def _misses(logs: DataFrame) -> list[tuple[str, Column]]:
     """For each field, whether a row misses it: from a flag, if there is one."""
-    flagged = [c.removeprefix(_MISSING) for c in logs.columns if c.startswith(_MISSING)]
-    return [(c, F.col(_MISSING + c)) for c in flagged] or [
+    flagged = [c.removeprefix(MISSING) for c in logs.columns if c.startswith(MISSING)]
+    return [(c, F.col(MISSING + c)) for c in flagged] or [
         (c, quality.missing(logs, c)) for c in quality.field_names(logs)
     ]
 
 
 def narrow(logs: DataFrame) -> DataFrame:
     """What ``partial_counts`` reads of a log table: five fields, and which are missing."""
-    flags = [missing.alias(_MISSING + c) for c, missing in _misses(logs)]
+    flags = [missing.alias(MISSING + c) for c, missing in _misses(logs)]
     return logs.select("time", "host", "endpoint", "status", "content_size", *flags)
 
 
@@ -176,9 +182,9 @@ def content_sizes(p: Partials) -> DataFrame:
 
 def missing_values(p: Partials) -> DataFrame:
     """For every column of the logs, how many rows miss it."""
-    columns = [c for c in p.hours.columns if c.startswith(_MISSING)]
+    columns = [c for c in p.hours.columns if c.startswith(MISSING)]
     return p.hours.agg(
-        *[F.sum(c).alias(c.removeprefix(_MISSING)) for c in columns]
+        *[F.sum(c).alias(c.removeprefix(MISSING)) for c in columns]
     )
 
 

@@ -7,6 +7,8 @@ import pytest
 from accesslens.catalog import QUERIES, clean_logs, logs
 from accesslens.functions.parse import parse_logs
 from accesslens.operators import not_found, quality, traffic
+from accesslens.plans import one_scan
+from accesslens.plans.report import ANALYSES, PROFILE, report
 from accesslens.sources.tables import land_logs
 from accesslens.sources.text import write_lines
 
@@ -94,3 +96,23 @@ def test_tables_are_read_no_wider_than_needed(spark, sf_dir):
     assert "ReadSchema: struct<>" in text
     clean = clean_logs(spark, sf_dir)
     assert clean.columns[0] == "day_of_week"
+
+
+def test_the_report_takes_two_scans(spark, sf_dir, tmp_path, text_logs):
+    """Each grouping is counted before the shuffle; no analysis reads the logs again."""
+    both = [plan(make(text_logs)) for make in (one_scan.count_hours, one_scan.count_groups)]
+    assert [text.count("FileScan") for text in both] == [1, 1]
+    for text in both:
+        assert "Aggregate(" in text.split("Exchange hashpartitioning")[-1].split("FileScan")[0]
+    analyses = one_scan.write_report(logs(spark, sf_dir), f"{tmp_path}/report")
+    assert set(analyses) == {*PROFILE, *ANALYSES}
+    for result in analyses.values():
+        files = result.inputFiles()
+        assert files and all(f"{tmp_path}/report" in file for file in files)
+
+
+def test_the_report_of_no_logs(spark, sf_dir, tmp_path):
+    none = logs(spark, sf_dir).filter("false")
+    plain = report(none)
+    for name, result in one_scan.write_report(none, f"{tmp_path}/none").items():
+        assert result.collect() == plain[name].collect(), name
