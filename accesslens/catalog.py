@@ -280,6 +280,18 @@ def stream_status_complete(spark: SparkSession, sf: str) -> DataFrame:
     return stateful.status_totals(spark, folder)
 
 
+def stream_status_continued(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of four batches, of which the last two come under another checkpoint."""
+    folder = new_folder(spark, "continued")
+    for n, ids in enumerate(replay.batch_ranges(_events(spark, sf), "event_id", BATCHES)):
+        source, checkpoint = f"{folder}/lines-{n // 2}", f"{folder}/checkpoint-{n // 2}"
+        replay.deliver(_batch(spark, sf, ids), source)
+        logs = parse_logs(open_stream(spark, "text", path=source), "iso")
+        query = stateful.start_continued_totals(logs, folder, checkpoint, AVAILABLE)
+        results.run_available(query)
+    return stateful.continued_totals(spark, folder)
+
+
 def stream_hourly_windowed(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "hourly")
 
@@ -292,6 +304,20 @@ def stream_hourly_windowed(spark: SparkSession, sf: str) -> DataFrame:
     return stateful.hourly_totals(spark, folder)
 
 
+def stream_hourly_with_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours of a stream whose second quarter comes after the third, days behind it."""
+    folder = new_folder(spark, "late")
+    first, second, third, last = replay.batch_ranges(_events(spark, sf), "event_id", BATCHES)
+    for ids in (first, third, second, last):
+        replay.deliver(_batch(spark, sf, ids), f"{folder}/lines")
+        logs = parse_logs(open_stream(spark, "text", path=f"{folder}/lines"), "iso")
+        query = stateful.start_hourly_with_late(
+            logs, folder, f"{folder}/checkpoint", trigger=AVAILABLE
+        )
+        results.run_available(query)
+    return stateful.hourly_with_late(spark, folder)
+
+
 def _stored(read: Callable, *rounded: str) -> Query:
     """A query over the result tables of the stream."""
 
@@ -462,7 +488,9 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_all_metrics": stream_all_metrics,
     "stream_status_complete": stream_status_complete,
+    "stream_status_continued": stream_status_continued,
     "stream_hourly_windowed": stream_hourly_windowed,
+    "stream_hourly_with_late": stream_hourly_with_late,
     # finished results of batches, rolled up
     "missing_values_batch_rollup": _stored(rollup.missing_values),
     "content_size_per_batch": _stored(rollup.content_size_per_batch, *SIZE_DOUBLES),

@@ -383,12 +383,24 @@ QUALIFY row_number() OVER (
     "stream_status_complete": _on_parsed(
         "SELECT status, count(*) AS count FROM parsed GROUP BY status", "iso"
     ),
+    "stream_status_continued": _on_parsed(
+        "SELECT status, count(*) AS count FROM parsed GROUP BY status", "iso"
+    ),
     "stream_hourly_windowed": _on_parsed(
         "SELECT date_trunc('hour', time) AS hour_start, count(*) AS requests,"
         " count(*) FILTER (WHERE status = 404) AS not_found"
         " FROM parsed WHERE time IS NOT NULL GROUP BY 1",
         "iso",
     ),
+    "stream_hourly_with_late": _on_batches(
+        """SELECT date_trunc('hour', time) AS hour_start, count(*) AS requests,
+  count(*) FILTER (WHERE status = 404) AS not_found,
+  count(*) FILTER (
+    WHERE batch_id = 1 AND date_trunc('hour', time) + INTERVAL 1 HOUR <= (
+      SELECT max(time) - INTERVAL 2 DAY FROM batched WHERE batch_id IN (0, 2))
+  ) AS late_requests
+FROM batched WHERE time IS NOT NULL GROUP BY 1"""
+    ),
     # finished results of batches, rolled up
     "missing_values_batch_rollup": _on_batches(
         f"SELECT {_missing(_STREAM_NULL)} FROM batched"

@@ -316,6 +316,78 @@ def test_hours_with_late_requests(spark):
     ]
 
 
+def test_totals_go_on_under_a_new_checkpoint(spark, slices, tmp_path):
+    """After the checkpoint is lost, twice; few folders stay."""
+    root = f"{tmp_path}/totals"
+    counted = None
+    for n, part in enumerate([slices[0], slices[1], slices[2]]):
+        for repeat in range(3):
+            few = part.filter(F.col("event_id") % 3 == repeat)
+            replay.deliver(few, f"{tmp_path}/lines-{n}")
+            logs = parse_logs(open_stream(spark, "text", path=f"{tmp_path}/lines-{n}"), "iso")
+            results.run_available(
+                stateful.start_continued_totals(logs, root, f"{tmp_path}/c-{n}", AVAILABLE)
+            )
+        counted = part if counted is None else counted.unionByName(part)
+        expected = traffic.status_frequency(parse_logs(counted, "iso"))
+        assert _rows(stateful.continued_totals(spark, root)) == _rows(expected)
+        since = tmp_path / "totals" / stateful.CONTINUED / f"since-{n}"
+        assert sorted(p.name for p in since.glob("batch_id=*")) == ["batch_id=1", "batch_id=2"]
+    logs = parse_logs(open_stream(spark, "text", path=f"{tmp_path}/lines-0"), "iso")
+    with pytest.raises(ValueError, match="go on"):
+        stateful.start_continued_totals(logs, f"{tmp_path}/other", f"{tmp_path}/c-0")
+
+
+def test_late_requests_go_to_corrections(spark):
+    """They count, are told apart with their batch, and once if the batch is repeated."""
+    folder = new_folder(spark, "corrections")
+    at = lambda hour, day=1: datetime.datetime(2024, 1, day, hour, 20)
+
+    def arrive(n, *requests):
+        logs = spark.createDataFrame([*requests], "time timestamp_ntz, status int")
+        stateful.write_hours(logs, f"{folder}/{stateful.HOURLY}", n, delay="2 hours")
+
+    def hours():
+        rows = stateful.hourly_with_late(spark, folder).collect()
+        return sorted((r.hour_start.hour, r.requests, r.not_found, r.late_requests) for r in rows)
+
+    arrive(0, (at(10), 200), (at(11), 404))
+    arrive(1)
+    arrive(2, (None, 200))  # neither has a request with a time
+    arrive(3, (at(14), 200), (at(8), 404))  # 8 to 9 is just closed, as 11:20 was seen
+    late = [(at(10), 200), (at(10), 404), (at(13), 200), (at(11), None)]
+    arrive(4, *late)
+    expected = [(8, 1, 1, 1), (10, 3, 1, 2), (11, 2, 1, 1), (13, 1, 0, 0), (14, 1, 0, 0)]
+    assert hours() == expected
+    arrive(4, *late)  # repeated after its commit, against the same watermark
+    assert hours() == expected
+    corrections = stateful.late_hours(spark, folder).collect()
+    assert sorted((r.batch_id, r.hour_start.hour, r.requests) for r in corrections) == [
+        (3, 8, 1), (4, 10, 2), (4, 11, 1)
+    ]
+    assert stateful.compact_hourly(spark, folder) == 4
+    assert hours() == expected
+    arrive(4, *late)  # a batch that was compacted comes again
+    arrive(5, (at(23), 200), (at(9), 200))
+    assert hours() == sorted([*expected, (9, 1, 0, 1), (23, 1, 0, 0)])
+
+
+def test_a_failed_batch_of_hours_counts_once(spark, monkeypatch):
+    folder = new_folder(spark, "hours")
+    root = f"{folder}/{stateful.HOURLY}"
+    logs = spark.createDataFrame(
+        [(datetime.datetime(2024, 1, 1, 10), 404)], "time timestamp_ntz, status int"
+    )
+    real = stateful.commit_batch
+    monkeypatch.setattr(stateful, "commit_batch", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        stateful.write_hours(logs, root, 0)
+    monkeypatch.setattr(stateful, "commit_batch", real)
+    stateful.write_hours(logs, root, 0)
+    rows = stateful.hourly_with_late(spark, folder).collect()
+    assert [tuple(r) for r in rows] == [(datetime.datetime(2024, 1, 1, 10), 1, 1, 0)]
+
+
 def test_sketches_of_batches_merge(spark, slices, batch_logs):
     root = new_folder(spark, "sketch")
     for n, part in enumerate(slices):
