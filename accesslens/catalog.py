@@ -18,7 +18,7 @@ from accesslens.functions import fields
 from accesslens.functions.parse import parse_logs, typed_times
 from accesslens.operators import not_found, quality, traffic
 from accesslens.plans import partials as exact
-from accesslens.plans import one_scan, rollup, totals
+from accesslens.plans import host_bitmaps, one_scan, rollup, sketches, totals
 from accesslens.session import new_folder
 from accesslens.sources.samples import event_lines, order_lines
 from accesslens.sources.streams import open_stream
@@ -357,6 +357,32 @@ def daily_hosts_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return exact.daily_hosts(totals.read_totals(spark, root))
 
 
+def daily_hosts_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Hosts per day from the bitmaps of four batches; the third is written twice."""
+    root = new_folder(spark, "bitmaps")
+    ranges = list(enumerate(replay.batch_ranges(_events(spark, sf), "event_id", BATCHES)))
+    for n, ids in ranges + ranges[2:3]:
+        host_bitmaps.add_hosts(parse_logs(_batch(spark, sf, ids), "iso"), root, n)
+    return host_bitmaps.daily_hosts(spark, root)
+
+
+def close_size_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether ranks of sizes from merged hourly sketches are within the error they state."""
+    table = logs(spark, sf)
+    quantiles = sketches.size_quantiles(sketches.hourly_size_sketches(table), (0.5, 0.9, 0.99))
+    size, error = F.col("content_size"), sketches.RANK_ERROR
+    rows = []
+    for quantile, found in quantiles.collect():  # three
+        known = F.count(size)
+        close = (F.count_if(size < found) <= known * (quantile + error)) & (
+            F.count_if(size <= found) >= known * (quantile - error)
+        )
+        rows.append(F.struct(
+            F.lit(quantile).alias("quantile"), known.alias("known"), close.alias("close")
+        ))
+    return table.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 #: Analyses with a key and a count, under the names they have as queries.
 COUNTED = {
     "status_frequency": "status",
@@ -514,6 +540,8 @@ QUERIES: dict[str, Query] = {
     ),
     "daily_hosts_exact": _merged(exact.daily_hosts),
     "daily_hosts_incremental": daily_hosts_incremental,
+    "daily_hosts_bitmap": daily_hosts_bitmap,
+    "close_size_quantiles": close_size_quantiles,
     "avg_daily_exact": _merged(exact.avg_daily),
     "content_size_merged": _merged(exact.content_sizes, *SIZE_DOUBLES),
 }

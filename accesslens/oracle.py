@@ -459,6 +459,11 @@ FROM (
     ),
     "daily_hosts_exact": _on_parsed(_daily_hosts(_DAY, "parsed"), "iso"),
     "daily_hosts_incremental": _on_parsed(_daily_hosts(_DAY, "parsed"), "iso"),
+    "daily_hosts_bitmap": _on_parsed(_daily_hosts(_DAY, "parsed"), "iso"),
+    "close_size_quantiles": _on_parsed(
+        "SELECT quantile, count(content_size) AS known, true AS close FROM parsed,"
+        " (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) q(quantile) GROUP BY quantile"
+    ),
     "avg_daily_exact": _on_parsed(_avg_daily(_DAY, "parsed"), "iso"),
     "content_size_merged": _on_parsed(f"SELECT {_SIZES} FROM parsed", "iso"),
 }

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from accesslens.catalog import lines
 from accesslens.functions.parse import parse_logs
+from accesslens.operators import traffic
 from accesslens.plans import partials as exact
-from accesslens.plans import totals
+from accesslens.plans import host_bitmaps, sketches, totals
 from accesslens.session import new_folder
 from accesslens.sources import commits
 from accesslens.sources.tables import (
@@ -257,3 +258,65 @@ def test_old_runs_are_deleted(spark, slices):
     runs = commits.Files(spark, f"{root}/totals/runs").names()
     assert set(runs) == {r.place.split("/")[-1] for t in (before, now) for r in t.runs}
     assert len(commits.Files(spark, f"{root}/totals/lists").names()) == 2
+
+
+# -- bitmaps ----------------------------------------------------------------
+
+
+def test_bitmaps_count_hosts_exactly(spark, slices):
+    root = new_folder(spark, "bits")
+    for n in range(3):
+        host_bitmaps.add_hosts(slices[n].filter("host <> ''"), root, n)
+    before = _rows(host_bitmaps.dictionary(spark, root))
+    ids = sorted(i for _, i in before)
+    assert ids == list(range(len(ids)))  # no gaps
+    # the last comes again with others, among them a missing host
+    other = slices[3].withColumn("host", F.nullif("host", F.lit("")))
+    host_bitmaps.add_hosts(other, root, 2)
+    after = _rows(host_bitmaps.dictionary(spark, root))
+    assert not before - after  # no host has another number
+    ids = sorted(i for _, i in after)
+    assert ids == list(range(len(ids)))
+    counted = other
+    for n in range(2):
+        counted = counted.unionByName(slices[n].filter("host <> ''"))
+    for grain in ("day_of_month", "date"):
+        expected = _rows(traffic.daily_unique_hosts(counted, grain))
+        assert _rows(host_bitmaps.daily_hosts(spark, root, grain)) == expected
+    assert _rows(host_bitmaps.unique_hosts(spark, root)) == _rows(traffic.unique_host_count(counted))
+
+
+def test_bitmaps_of_no_hosts(spark, slices):
+    root = new_folder(spark, "nobits")
+    host_bitmaps.add_hosts(slices[0].filter("false"), root, 0)
+    assert host_bitmaps.unique_hosts(spark, root).first()[0] == 0
+    host_bitmaps.add_hosts(slices[0].filter("host <> ''").limit(1), root, 1)
+    assert host_bitmaps.unique_hosts(spark, root).first()[0] == 1
+
+
+def test_numbers_of_many_partitions(spark):
+    """Hosts of many tasks, beyond one bitmap's 32,768 bits."""
+    root = new_folder(spark, "manybits")
+    logs = spark.range(0, 70_000, 1, 13).select(
+        F.concat(F.lit("h"), F.col("id") % 40_000).alias("host"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 2 as int))").alias("time"),
+    )
+    host_bitmaps.add_hosts(logs, root, 0)
+    assert host_bitmaps.unique_hosts(spark, root).first()[0] == 40_000
+    ids = host_bitmaps.dictionary(spark, root)
+    assert ids.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first() == (0, 39_999, 40_000)
+
+
+def test_quantiles_of_merged_sketches(spark):
+    rows = spark.range(100_000).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 48 as int))").alias("time"),
+        F.when(F.col("id") % 10 > 0, F.col("id") * 50_000).alias("content_size"),
+    )
+    hourly = sketches.hourly_size_sketches(rows)
+    assert hourly.count() == 48
+    for quantile, size in sketches.size_quantiles(hourly, (0.0, 0.25, 0.5, 0.99, 1.0)).collect():
+        assert size == pytest.approx(quantile * 5e9, abs=sketches.RANK_ERROR * 5e9)
+    by_day = sketches.size_quantiles(hourly, [0.5], "date").collect()
+    assert len(by_day) == 2
+    none = sketches.hourly_size_sketches(rows.filter("content_size IS NULL"))
+    assert sketches.size_quantiles(none, [0.5]).collect() == []
