@@ -34,12 +34,65 @@ BROADCAST_ROWS = 300_000  # rows of 50 bytes at most that go to every executor
 BITS = 1 << 40  # of a word's hash: sums over a line's words don't overflow
 
 
-def _line_key() -> Column:
-    """A number for each document that grows with doc_id and tells equal ids apart."""
-    doc_id = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("decimal(19,0)")
-    same = F.pmod(F.xxhash64(text_or_empty()), F.lit(10**9)).cast("decimal(9,0)")
-    key = doc_id * F.lit(10**9).cast("decimal(10,0)") + same
-    return key.cast("decimal(28,0)")
+def _least_id() -> Column:
+    """A null doc_id counts as the least there is."""
+    return F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("bigint")
+
+
+def _text_hashes() -> list[Column]:
+    text = text_or_empty()
+    return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
+
+
+def _ties(documents: DataFrame) -> DataFrame | None:
+    """(id, t1, t2, tie) of documents whose doc_id others have too; None if there are none.
+
+    Ties are numbers from 1 on in the order of ids and hashes of texts, dealt out by ranges and
+    counted within each; only the sizes of ranges are put together. Equal texts have one.
+    """
+    spark = documents.sparkSession
+    first, second = _text_hashes()
+    texts = documents.select(_least_id().alias("id"), first.alias("t1"), second.alias("t2"))
+    texts = written(texts.distinct(), "text-hashes")
+    several = texts.groupBy("id").count().where("count > 1").select("id")
+    shared = written(texts.join(several, "id", "left_semi"), "shared-ids")
+    n_shared = shared.count()
+    if not n_shared:
+        return None
+    if n_shared >= 10**9:
+        raise ValueError(f"{n_shared} documents with ids that others have; 10^9 are too many")
+    ordered = shared.orderBy("id", "t1", "t2").withColumn("at", F.monotonically_increasing_id())
+    ordered = written(ordered, "ordered-ids")
+    part = F.shiftright("at", 33)
+    start, starts = 1, []
+    for size in ordered.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((size.part, start))
+        start += size["count"]
+    offsets = F.broadcast(spark.createDataFrame(starts, "part bigint, start bigint"))
+    numbered = ordered.withColumn("part", part).join(offsets, "part")
+    row = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return written(numbered.select("id", "t1", "t2", (F.col("start") + row).alias("tie")), "ties")
+
+
+def _with_key(documents: DataFrame, ties: DataFrame | None, name: str) -> DataFrame:
+    """``documents`` with a number that grows with doc_id and is one for each id and text."""
+    billion = F.lit(10**9).cast("decimal(10,0)")
+    number = _least_id().cast("decimal(19,0)") * billion
+    if ties is None:
+        return documents.withColumn(name, number.cast("decimal(28,0)"))
+    names = {c: fresh(documents, c) for c in ("id", "t1", "t2", "tie")}
+    keys = [names[c] for c in ("id", "t1", "t2")]
+    hashed = documents.withColumns(dict(zip(keys, [_least_id(), *_text_hashes()], strict=True)))
+    joined = hashed.join(_checked(ties).withColumnsRenamed(names), keys, "left")
+    tie = F.coalesce(F.col(names["tie"]), F.lit(0)).cast("decimal(9,0)")
+    return joined.withColumn(name, (number + tie).cast("decimal(28,0)")).drop(*names.values())
+
+
+def _place_of(at: Column) -> tuple[Column, Column]:
+    """(document's number, place of the line) of where a line is."""
+    billion = F.lit(10**9).cast("decimal(10,0)")
+    place = F.pmod(at, billion)
+    return ((at - place) / billion).cast("decimal(28,0)"), place.cast("int")
 
 
 def _normal(line: Column) -> Column:
@@ -57,14 +110,10 @@ def _count(line: Column) -> Column:
     return (blanks + 1).cast("bigint")
 
 
-def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_key, place, line) of the lines that are compared."""
+def _lines(keyed: DataFrame) -> DataFrame:
+    """(doc_key, place, raw) of the lines of documents."""
     split = F.split(text_or_empty(), "\n", -1)
-    lines = documents.select(
-        _line_key().alias("doc_key"), F.posexplode(split).alias("place", "raw")
-    )
-    lines = lines.select("doc_key", "place", _normal(F.col("raw")).alias("line"))
-    return lines.where(F.length("line") >= min_chars)
+    return keyed.select("doc_key", F.posexplode(split).alias("place", "raw"))
 
 
 def _identity() -> list[Column]:
@@ -86,9 +135,10 @@ def _halves(line: Column, n: Column) -> Column:
     return F.array(*pair(n), *pair(n - 1))
 
 
-def _distinct(documents: DataFrame, min_chars: int) -> DataFrame:
+def _distinct(keyed: DataFrame, min_chars: int) -> DataFrame:
     """(h1, h2, n, at, halves) of distinct lines; ``at`` is where the earliest is."""
-    lines = _lines(documents, min_chars)
+    lines = _lines(keyed).select("doc_key", "place", _normal(F.col("raw")).alias("line"))
+    lines = lines.where(F.length("line") >= min_chars)
     at = F.col("doc_key") * F.lit(10**9).cast("decimal(10,0)") + F.col("place")
     n = _count(F.col("line"))
     halves = F.when(n >= MIN_WORDS - 1, _halves(F.col("line"), n))
@@ -102,15 +152,30 @@ def _distinct(documents: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _candidates(distinct: DataFrame) -> DataFrame:
-    """Distinct lines that share a half with another one."""
+    """(at, n) of distinct lines that share a half with another one."""
     keyed = distinct.where("halves[0] IS NOT NULL")
-    keyed = keyed.select("h1", "h2", F.explode("halves").alias("half"))
+    keyed = keyed.select("h1", "at", "n", F.explode("halves").alias("half"))
     shared = keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
     shared = _checked(written(shared.where("a <> b").select("half"), "halves"))
-    found = keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct()
+    found = keyed.join(shared, "half", "left_semi").select("at", "n").distinct()
     return written(found, "candidates")
 
 
+def _texts_of(keyed: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(at, n, line) of candidates: read at their places, only in the documents that have them.
+
+    Rows with equal ids and texts are one document, so each line is taken once.
+    """
+    doc_key, place = _place_of(F.col("at"))
+    places = _checked(
+        written(candidates.select(doc_key.alias("doc_key"), place.alias("place"), "at", "n"), "places")
+    )
+    own = written(places.select("doc_key").distinct(), "candidate-documents")
+    lines = _lines(keyed.join(_checked(own), "doc_key", "left_semi"))
+    found = lines.join(places, ["doc_key", "place"])
+    return found.select("at", "n", _normal(F.col("raw")).alias("line")).dropDuplicates(["at"])
+
+
 def _checked(df: DataFrame) -> DataFrame:
     """A stored table, to be broadcast if it is small; if not, Spark joins by sorting."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -185,23 +250,14 @@ def _near(candidates: DataFrame) -> DataFrame:
     return pairs.where(without("line", "cut") == without("earlier_line", "cut_earlier"))
 
 
-def _kept(documents: DataFrame, min_chars: int) -> DataFrame:
+def _kept(keyed: DataFrame, min_chars: int) -> DataFrame:
     """(doc_key, kept): places of the compared lines that stay, in order."""
-    distinct = written(_distinct(documents, min_chars), "lines")
-    candidates = _checked(_candidates(distinct))
-    lines = _lines(documents, min_chars).select("line", *_identity())
-    texts = lines.join(candidates, ["h1", "h2"], "left_semi")
-    texts = texts.groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    texts = texts.join(distinct.select("h1", "h2", "n", "at"), ["h1", "h2"])
-    near = _near(written(texts.select("at", "n", "line"), "texts"))
+    distinct = written(_distinct(keyed, min_chars), "lines")
+    near = _near(written(_texts_of(keyed, _candidates(distinct)), "texts"))
     near = _checked(written(near.select("at"), "near"))
+    doc_key, place = _place_of(F.col("at"))
     stays = distinct.select("at").join(near, "at", "left_anti")
-    billion = F.lit(10**9).cast("decimal(10,0)")
-    place = F.pmod(F.col("at"), billion)
-    stays = stays.select(
-        ((F.col("at") - place) / billion).cast("decimal(28,0)").alias("doc_key"),
-        place.cast("int").alias("place"),
-    )
+    stays = stays.select(doc_key.alias("doc_key"), place.alias("place"))
     return stays.groupBy("doc_key").agg(F.array_sort(F.collect_list("place")).alias("kept"))
 
 
@@ -216,30 +272,36 @@ def deduplicate_lines(
     Every row stays; a document all of whose lines went has the text '', and so has a null
     text. Rows with equal doc_id and text count as one document and keep the same
     lines; equal ids with different texts are ordered by a hash of the text, null ids
-    come first. ``counts`` adds n_lines, the number of lines before, and n_removed.
-    ``drop_empty`` leaves out documents in which no word stays.
+    count as the least id there is. Up to 10^9 documents may have ids that others have.
+    ``counts`` adds n_lines, the number of lines before, and n_removed, with underscores in
+    front if there are such columns. ``drop_empty`` leaves out documents in which no word stays.
     """
     names = {c: fresh(documents, c) for c in ("doc_key", "kept", "lines", "stay")}
-    kept = _kept(documents, min_chars).withColumnsRenamed(names)
-    marked = documents.withColumn(names["doc_key"], _line_key())
+    ties = _ties(documents)
+    kept = _kept(_with_key(documents.select("doc_id", "text"), ties, "doc_key"), min_chars)
+    kept = kept.withColumnsRenamed(names)
+    marked = _with_key(documents, ties, names["doc_key"])
     joined = marked.join(kept, names["doc_key"], "left")
+    lines, own_kept = F.col(names["lines"]), F.col(names["kept"])
     if drop_empty:  # a line that was compared and stays has words; else look for short ones
         short_words = F.exists(
             F.split(text_or_empty(), "\n", -1),
             lambda line: F.length(_normal(line)).between(1, min_chars - 1),
         )
-        joined = joined.where(F.col(names["kept"]).isNotNull() | short_words)
+        joined = joined.where(own_kept.isNotNull() | (short_words if min_chars > 1 else F.lit(False)))
     joined = joined.withColumn(names["lines"], F.split(text_or_empty(), "\n", -1))
-    lines = F.col(names["lines"])
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     short = F.filter(places, lambda i: F.length(_normal(F.get(lines, i))) < min_chars)
-    stay = F.coalesce(F.col(names["kept"]), F.array().cast("array<int>"))
-    stays = F.array_sort(F.concat(stay, short))
-    joined = joined.withColumn(names["stay"], stays)
+    stays = F.array_sort(F.concat(F.coalesce(own_kept, F.array().cast("array<int>")), short))
+    # most documents keep all their lines, and need no look at each
+    whole = F.coalesce(F.size(own_kept) == F.size(lines), F.lit(False))
+    joined = joined.withColumn(names["stay"], F.when(~whole, stays))
     stay = F.col(names["stay"])
-    text = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    picked = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    text = F.when(stay.isNull(), text_or_empty()).otherwise(picked)
     columns = [text.alias(c) if c == "text" else F.col(c) for c in documents.columns]
     if counts:
-        removed = F.size(lines) - F.size(stay)
-        columns += [F.size(lines).alias("n_lines"), removed.alias("n_removed")]
+        removed = F.when(stay.isNull(), 0).otherwise(F.size(lines) - F.size(stay))
+        columns.append(F.size(lines).alias(fresh(documents, "n_lines")))
+        columns.append(removed.alias(fresh(documents, "n_removed")))
     return joined.select(*columns)

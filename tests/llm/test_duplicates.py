@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from accesslens.llm import line_neighbourhood, order_minhash
 from accesslens.llm.common import WORDS
 
@@ -221,6 +223,24 @@ def test_lines_of_odd_tables(spark):
     assert line_neighbourhood.deduplicate_lines(table.where("false")).count() == 0
 
 
+def test_many_texts_without_an_id_or_with_one_id(spark):
+    """Each is a document of its own; none takes another's lines."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).cast("bigint").alias("doc_id"),
+        F.format_string("line number %d of a text without an id\\nand another, %1$d", "id").alias("text"),
+        F.lit("x").alias("n_lines"), F.lit(None).alias("tie"),
+    )
+    found = line_neighbourhood.deduplicate_lines(rows, counts=True)
+    assert found.columns == [*rows.columns, "_n_lines", "n_removed"]
+    figures = found.agg(
+        F.count("text"), F.min("n_removed"), F.max("_n_lines"), F.sum(F.size(F.split("text", "\n")))
+    ).first()
+    assert figures[:3] == (60_000, 0, 2)
+    lines = found.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    assert lines.count() == lines.distinct().count()
+    assert found.where("n_removed > 2 OR n_removed < 0").isEmpty()
+
+
 def test_one_line_everywhere(spark):
     rows = [(i, f"the same line in all of them\nown line number {i} of text {i * 7}") for i in range(2000)]
     found = line_neighbourhood.deduplicate_lines(_table(spark, rows)).collect()
