@@ -16,10 +16,11 @@ hub with which the others are compared; the hub is the one with the most candida
 which in a group of edited copies is the text they were made from. Those that don't match
 it choose a new hub among themselves, until none is left or ``rounds`` have passed. Most
 entries are of one component then; of the others all pairs of nodes in different components
-are compared that weren't. Where an entry has many nodes, these pairs are found by the
-rarest k-mers of its texts: two that match in 0.8 of all share one of the rarest fifth. So
-comparisons don't grow with the square of the size of a group of copies, and no link between
-texts that share an entry is lost. Classes are the connected components of the links.
+are compared that weren't, if their sizes allow for 0.8. Where an entry has many nodes, these
+pairs are found by the rarest k-mers of its texts: two that match in 0.8 of all share one of the
+rarest fifth, and have enough k-mers behind it. So a group of copies isn't paired with itself, nor
+are texts that share a passage and little else, and no link between texts that share an
+entry is lost. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -209,32 +210,39 @@ def node_of(text: str) -> int:
 
 
 def sketches(documents: DataFrame, entries: int, length: int, threshold: float) -> DataFrame:
-    """doc_id, node and keys of every row; keys only for a text's first row in a task."""
+    """doc_id, node, size and keys of every row; keys only for a text's first row in a task.
+
+    ``size`` is the number of k-mers.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         seen: set[int] = set()
         for batch in batches:
-            nodes, keys = [], []
+            nodes, sizes, keys = [], [], []
             for text in batch.column(1).to_pylist():
                 node = node_of(text or "")
                 nodes.append(node)
                 if node in seen:
+                    sizes.append(None)
                     keys.append(None)
                     continue
                 if len(seen) < 300_000:
                     seen.add(node)
-                keys.append(sketch(hasher.kmers(text or ""), entries, length, threshold))
+                kmers = hasher.kmers(text or "")
+                sizes.append(len(kmers))
+                keys.append(sketch(kmers, entries, length, threshold))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "node", "keys"],
+                names=["doc_id", "node", "size", "keys"],
             )
 
-    schema = "doc_id bigint, node bigint, keys array<bigint>"
+    schema = "doc_id bigint, node bigint, size bigint, keys array<bigint>"
     return documents.select("doc_id", "text").mapInArrow(over, schema)
 
 
@@ -314,8 +322,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(found: DataFrame, documents: DataFrame, threshold: float, rounds: int) -> DataFrame:
-    """(u, v) of nodes whose texts are alike."""
-    entries = found.where("keys IS NOT NULL").select("node", F.explode("keys").alias("key"))
+    """(u, v) of nodes whose texts are alike; a size that isn't known allows for any other."""
+    if "size" not in found.columns:
+        found = found.withColumn("size", F.lit(None).cast("bigint"))
+    entries = found.where("keys IS NOT NULL")
+    entries = entries.select("node", "size", F.explode("keys").alias("key"))
     shared = (
         entries.groupBy("key")
         .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n"))
@@ -363,9 +374,10 @@ def _open_pairs(
 ) -> DataFrame:
     """(low, high): nodes of different components that share an entry and may be alike.
 
-    In entries of more than ``FEW`` nodes, only those that share one of their rarest k-mers.
+    Their sizes have to be near enough. In entries of more than ``FEW`` nodes, only those that
+    share one of their rarest k-mers, at places that leave enough k-mers behind.
     """
-    nodes = active.select("key", "node").join(parts, "node", "left")
+    nodes = active.select("key", "node", "size").join(parts, "node", "left")
     nodes = nodes.withColumn("component", F.coalesce("component", "node"))
     mixed = nodes.groupBy("key").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
@@ -373,17 +385,18 @@ def _open_pairs(
     mixed = mixed.where("a <> b").select("key", (F.col("n") <= FEW).alias("few"))
     nodes = written(nodes.join(mixed, "key"), "mixed")
     large = nodes.where("NOT few").select("node", "component").distinct()
-    rare = _rare_kmers(large, texts, threshold)
-    both = nodes.where("few").select("key", "node", "component")
-    return _across(both).unionByName(_across(written(rare, "rare"))).distinct()
+    rare = written(_rare_kmers(large, texts, threshold), "rare")
+    few = nodes.where("few").select("key", "node", "component", "size")
+    return _across_few(few, threshold).unionByName(_across(rare, threshold)).distinct()
 
 
 def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """(key, node, component): the rarest k-mers of each text that others of ``nodes`` have.
+    """(key, node, component, size, rest): the rarest k-mers of each text that others have.
 
     Texts are alike if so many k-mers match that at most n - ceil(threshold * n) of one's
     n don't; so of the n - ceil(threshold * n) + 1 that come first in any one order of all
-    k-mers, both have at least one in common. Rare ones come first here.
+    k-mers, both have at least one in common. Rare ones come first here. ``rest`` is the number
+    of the text's k-mers from this one on in that order.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,16 +406,15 @@ def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFra
             for node, component, text in rows:
                 kmers = labelled(hasher.kmers(text)).view(np.int64)
                 n = len(kmers)
-                first = n - math.ceil(threshold * n - 1e-9) + 1
                 for at in range(0, n, 100_000):
                     part = kmers[at : at + 100_000]
-                    same = [np.full(len(part), x, np.int64) for x in (node, component, first)]
+                    same = [np.full(len(part), x, np.int64) for x in (node, component, n)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x) for x in (part, *same)],
-                        names=["key", "node", "component", "first"],
+                        names=["key", "node", "component", "size"],
                     )
 
-    schema = "key bigint, node bigint, component bigint, first bigint"
+    schema = "key bigint, node bigint, component bigint, size bigint"
     kmers = nodes.join(texts, "node").select("node", "component", "text")
     kmers = written(kmers.mapInArrow(over, schema), "kmers")
     counts = kmers.groupBy("key").agg(
@@ -412,22 +424,68 @@ def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     ranked = kmers.join(counts, "key")
     place = F.row_number().over(Window.partitionBy("node").orderBy("n", "key"))
     ranked = ranked.withColumn("place", place)
-    return ranked.where("place <= first AND a <> b").select("key", "node", "component")
+    first = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    ranked = ranked.where((F.col("place") <= first) & (F.col("a") != F.col("b")))
+    rest = (F.col("size") - F.col("place") + 1).alias("rest")
+    return ranked.select("key", "node", "component", "size", rest)
 
 
-def _across(grouped: DataFrame) -> DataFrame:
-    """(low, high) of nodes with equal keys and different components.
-
-    Components are paired first, so a large one is never joined with itself.
+def _across_few(grouped: DataFrame, threshold: float) -> DataFrame:
+    """(low, high) of nodes with equal keys, of which each has few, and different components."""
+    other = grouped.select(
+        "key", F.col("node").alias("high"), F.col("component").alias("b"), F.col("size").alias("m")
+    )
+    near = F.least("size", "m") >= threshold * F.greatest("size", "m") - 1e-9
+    pairs = grouped.withColumnRenamed("node", "low").join(other, "key")
+    pairs = pairs.where((F.col("low") < F.col("high")) & (F.col("component") != F.col("b")))
+    pairs = pairs.where(F.coalesce(near, F.lit(True)))
+    return pairs.select("low", "high").distinct()
+
+
+def _across(rare: DataFrame, threshold: float) -> DataFrame:
+    """(low, high) of nodes with equal keys and different components that may be alike.
+
+    Of two texts with n <= m k-mers, t / (1 + t) * (n + m) have to match at least. The first one
+    that both have in the order of rare ones is among ``rare``, and all others come behind
+    it in both, so ``rest`` is at least that on either side. For the smaller text that means
+    2 t / (1 + t) of its own k-mers: texts that share a passage and not much more
+    are no smaller side for this passage, however many there are. The larger one goes to the classes
+    of sizes, about a sixteenth wide, that it allows for. Components are paired first, by
+    the same bounds, so a large one is never joined with itself.
     """
-    groups = grouped.select("key", "component").distinct()
-    other = groups.withColumnRenamed("component", "other")
-    paired = groups.join(other, "key").where("component < other")
-    one = paired.join(grouped, ["key", "component"]).select(
-        "key", F.col("other").alias("component"), F.col("node").alias("first")
+    t = threshold
+    need = t / (1 + t)
+
+    def size_class(size):
+        return F.floor(F.log(size) * 16).cast("int")
+
+    few_left = F.col("rest") < 2 * need * F.col("size") - 1e-9
+    small = rare.where(~few_left).withColumn("of", size_class(F.col("size")))
+    least = F.greatest(F.lit(1), F.ceil(t * F.col("size") - 1e-9))
+    most = F.least(F.col("size"), F.floor(F.col("rest") / need - F.col("size") + 1e-9))
+    large = rare.where(least <= most)
+    classes = F.sequence(size_class(least), size_class(most))
+    large = large.withColumn("of", F.explode(classes)).withColumnsRenamed(
+        {"node": "other", "component": "b", "size": "m", "rest": "rest_m"}
+    )
+
+    def bounded(n, rest_n, m, rest_m):
+        total = (F.col(n) + F.col(m)) * need - 1e-9
+        return (F.col(rest_n) >= total) & (F.col(rest_m) >= total)
+
+    small_groups = small.groupBy("key", "of", "component").agg(
+        F.min("size").alias("n1"), F.max("rest").alias("r1")
+    )
+    large_groups = large.groupBy("key", "of", "b").agg(
+        F.min("m").alias("n2"), F.max("rest_m").alias("r2")
     )
-    pairs = one.join(grouped, ["key", "component"])
-    low, high = F.least("first", "node").alias("low"), F.greatest("first", "node").alias("high")
+    paired = small_groups.join(large_groups, ["key", "of"])
+    paired = paired.where((F.col("component") != F.col("b")) & bounded("n1", "r1", "n2", "r2"))
+    paired = paired.select("key", "of", "component", "b")
+    pairs = paired.join(small, ["key", "of", "component"]).join(large, ["key", "of", "b"])
+    near = (F.col("size") <= F.col("m")) & (F.col("size") >= t * F.col("m") - 1e-9)
+    pairs = pairs.where(near & bounded("size", "rest", "m", "rest_m"))
+    low, high = F.least("node", "other").alias("low"), F.greatest("node", "other").alias("high")
     return pairs.select(low, high).distinct()
 
 

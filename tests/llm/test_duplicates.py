@@ -133,6 +133,32 @@ def test_one_entry_of_many_groups(spark, monkeypatch, few):
     assert len({parts[n] for n in nodes.values()}) == 20
 
 
+def test_rare_kmers_find_all_pairs_that_are_alike(spark):
+    """Texts of a common passage and more or less of their own, of many sizes."""
+    rng = random.Random(13)
+    passage, texts = _words(rng, 60), []
+    for own in [0, 0, 1, 2, 4, 6, 8, 9, 10, 11, 12, 13, 14, 16, 20, 30, 60, 200] * 4:
+        words = _edited(rng, passage, rng.choice([0, 1])) + _words(rng, own)
+        texts.append(" ".join(words[rng.choice([0, 0, 3]) :]))
+    texts = sorted(set(texts))
+    hasher = order_minhash.Hasher()
+    kmers = [order_minhash.labelled(hasher.kmers(t)) for t in texts]
+    nodes = [order_minhash.node_of(t) for t in texts]
+    component = [n if i % 3 else nodes[0] for i, n in enumerate(nodes)]  # a large one, and others
+    alike = {
+        tuple(sorted((nodes[i], nodes[j])))
+        for i in range(len(texts)) for j in range(i)
+        if component[i] != component[j]
+        and order_minhash.similarity(kmers[i], kmers[j], 0.8) > 0
+    }
+    table = spark.createDataFrame(list(zip(nodes, component, strict=True)), "node long, component long")
+    stored = spark.createDataFrame(list(zip(nodes, texts, strict=True)), "node long, text string")
+    rare = order_minhash._rare_kmers(table, stored, 0.8)
+    found = [tuple(r) for r in order_minhash._across(rare, 0.8).collect()]
+    assert len(found) == len(set(found)) and alike <= set(found) and len(alike) > 100
+    assert len(found) < 3 * len(alike)
+
+
 def test_order_counts():
     rng = random.Random(9)
     words = _words(rng, 400)
@@ -227,7 +253,7 @@ def test_many_texts_without_an_id_or_with_one_id(spark):
     """Each is a document of its own; none takes another's lines."""
     rows = spark.range(60_000).select(
         F.when(F.col("id") % 2 == 0, F.lit(7)).cast("bigint").alias("doc_id"),
-        F.format_string("line number %d of a text without an id\\nand another, %1$d", "id").alias("text"),
+        F.format_string("line number %d of a text without an id\nand another, %1$d", "id").alias("text"),
         F.lit("x").alias("n_lines"), F.lit(None).alias("tie"),
     )
     found = line_neighbourhood.deduplicate_lines(rows, counts=True)
