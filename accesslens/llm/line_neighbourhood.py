@@ -14,8 +14,9 @@ without a key in common with another line have no near line.
 
 Documents are ordered by doc_id and lines by their place. A line goes if an equal or near
 one comes earlier, whether or not that one stays. Words are compared, so white space
-doesn't matter. Lines of fewer than ``min_chars`` characters stay; near lines have five
-words at least, so that four in five words agree.
+doesn't matter. Every line with a word is compared for equality, unless ``min_chars`` asks for
+longer ones; lines that aren't compared stay. Near lines have five words at least, so that four
+in five words agree.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from accesslens.llm.common import fresh, text_or_empty, written
 
-MIN_CHARS = 10
+MIN_CHARS = 1
 MIN_WORDS = 5
 BROADCAST_ROWS = 300_000  # rows of 50 bytes at most that go to every executor
 BITS = 1 << 40  # of a word's hash: sums over a line's words don't overflow

@@ -1,8 +1,7 @@
 """The results of queries in SQL for DuckDB, where SQL can express them."""
 
 #: Lines as words; a line goes if an equal one or one with one word inserted, deleted or
-#: replaced comes earlier. Lines of fewer than ten characters stay, near ones have five
-#: words spot least.
+#: replaced comes earlier. Lines without a word stay, near ones have five words at least.
 LINES = r"""
 WITH raw AS (
     SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
@@ -15,7 +14,7 @@ WITH raw AS (
 ), earliest AS (
     SELECT line, string_split(line, ' ') AS words,
         min((doc_id * 1000000000::HUGEINT) + place) AS spot
-    FROM lines WHERE length(line) >= 10 GROUP BY line
+    FROM lines WHERE length(line) >= 1 GROUP BY line
 ), variants AS (
     SELECT spot, len(words) AS n, i,
         array_to_string(list_concat(words[1:i - 1], words[i + 1:]), ' ') AS rest
@@ -59,7 +58,7 @@ ORACLE: dict[str, str] = {
         coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE stay), '') AS text
     FROM (
         SELECT l.doc_id, l.place, l.raw,
-            length(l.line) < 10 OR s.spot IS NOT NULL AS stay
+            length(l.line) < 1 OR s.spot IS NOT NULL AS stay
         FROM lines l
         LEFT JOIN stays s ON s.spot = (l.doc_id * 1000000000::HUGEINT) + l.place
     )

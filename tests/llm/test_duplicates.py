@@ -210,7 +210,7 @@ def _brute_lines(rows):
         kept = []
         for line in (rows[i][1] or "").split("\n"):
             words = WORDS.findall(line)
-            if len(" ".join(words)) < 10:
+            if not words:
                 kept.append(line)
                 continue
             if not any(words == w or _near(words, w) for w in seen):
@@ -267,6 +267,16 @@ def test_many_texts_without_an_id_or_with_one_id(spark):
     assert found.where("n_removed > 2 OR n_removed < 0").isEmpty()
 
 
+def test_short_lines_are_compared_for_equality(spark):
+    rows = [(1, "Menu\n\nA text\nMenu"), (2, "menu\nMenu\n \nx"), (3, "x\nA text\n\nx y\nx")]
+    found = line_neighbourhood.deduplicate_lines(_table(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in found} == _brute_lines(rows) == {
+        1: "Menu\n\nA text", 2: "menu\n \nx", 3: "\nx y"
+    }
+    found = line_neighbourhood.deduplicate_lines(_table(spark, rows), min_chars=5).collect()
+    assert {r.doc_id: r.text for r in found}[3] == "x\n\nx y\nx"
+
+
 def test_one_line_everywhere(spark):
     rows = [(i, f"the same line in all of them\nown line number {i} of text {i * 7}") for i in range(2000)]
     found = line_neighbourhood.deduplicate_lines(_table(spark, rows)).collect()
