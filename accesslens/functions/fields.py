@@ -27,10 +27,11 @@ def host(line: Column | str) -> Column:
 
 
 def _request(line: Column | str, part: int) -> Column:
-    # Named alike by all three fields, so a projection of them matches a line once.
-    line = _text(line)
-    parts = F.split(F.regexp_extract(line, p.REQUEST, 1), p.REQUEST_PARTS, -1)
-    return F.when(line.isNotNull(), F.coalesce(F.get(parts, F.lit(part)), F.lit("")))
+    # Named alike by all three fields, so a projection of them matches a line once; inside
+    # a CASE it would not be shared. Blanks behind the parts stand for those that are missing.
+    request = F.regexp_extract(_text(line), p.REQUEST, 1)
+    blanks = F.array(*[F.lit("")] * 3)
+    return F.get(F.concat(F.split(request, p.REQUEST_PARTS, -1), blanks), F.lit(part))
 
 
 def method(line: Column | str) -> Column:
