@@ -89,6 +89,12 @@ def _with_key(documents: DataFrame, ties: DataFrame | None, name: str) -> DataFr
     return joined.withColumn(name, (number + tie).cast("decimal(28,0)")).drop(*names.values())
 
 
+def _at() -> Column:
+    """Where a line is: a number that grows with documents and places."""
+    billion = F.lit(10**9).cast("decimal(10,0)")
+    return (F.col("doc_key") * billion + F.col("place")).cast("decimal(38,0)")
+
+
 def _place_of(at: Column) -> tuple[Column, Column]:
     """(document's number, place of the line) of where a line is."""
     billion = F.lit(10**9).cast("decimal(10,0)")
@@ -140,11 +146,9 @@ def _distinct(keyed: DataFrame, min_chars: int) -> DataFrame:
     """(h1, h2, n, at, halves) of distinct lines; ``at`` is where the earliest is."""
     lines = _lines(keyed).select("doc_key", "place", _normal(F.col("raw")).alias("line"))
     lines = lines.where(F.length("line") >= min_chars)
-    at = F.col("doc_key") * F.lit(10**9).cast("decimal(10,0)") + F.col("place")
     n = _count(F.col("line"))
     halves = F.when(n >= MIN_WORDS - 1, _halves(F.col("line"), n))
-    at = at.cast("decimal(38,0)").alias("at")
-    rows = lines.select(*_identity(), n.alias("n"), at, halves.alias("x"))
+    rows = lines.select(*_identity(), n.alias("n"), _at().alias("at"), halves.alias("x"))
     rows = rows.select("h1", "h2", "n", "at", *[F.col("x")[i].alias(f"x{i}") for i in range(4)])
     least = rows.groupBy("h1", "h2").agg(
         F.min("at").alias("at"), *[F.first(c).alias(c) for c in ("n", "x0", "x1", "x2", "x3")]
@@ -167,13 +171,11 @@ def _texts_of(keyed: DataFrame, candidates: DataFrame) -> DataFrame:
 
     Rows with equal ids and texts are one document, so each line is taken once.
     """
-    doc_key, place = _place_of(F.col("at"))
-    places = _checked(
-        written(candidates.select(doc_key.alias("doc_key"), place.alias("place"), "at", "n"), "places")
-    )
-    own = written(places.select("doc_key").distinct(), "candidate-documents")
-    lines = _lines(keyed.join(_checked(own), "doc_key", "left_semi"))
-    found = lines.join(places, ["doc_key", "place"])
+    documents = candidates.select(_place_of(F.col("at"))[0].alias("doc_key")).distinct()
+    own = _checked(written(documents, "candidate-documents"))
+    lines = _lines(keyed.join(own, "doc_key", "left_semi"))
+    lines = lines.select(_at().alias("at"), "raw")
+    found = lines.join(_checked(candidates), "at")
     return found.select("at", "n", _normal(F.col("raw")).alias("line")).dropDuplicates(["at"])
 
 
