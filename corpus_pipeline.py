@@ -27,7 +27,7 @@ MAX_TOKENS, END_ID = 4096, 1
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Chunks a Python worker remembers and bytes of text it takes at once when it encodes: less
 #: than usual, as the stages before have grown the executor it shares.
-REMEMBERED, TOGETHER = 150_000, 4_000_000
+REMEMBERED, TOGETHER = 100_000, 2_000_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
