@@ -395,8 +395,8 @@ def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFra
 
     Texts are alike if so many k-mers match that at most n - ceil(threshold * n) of one's
     n don't; so of the n - ceil(threshold * n) + 1 that come first in any one order of all
-    k-mers, both have at least one in common. Rare ones come first here. ``rest`` is the number
-    of the text's k-mers from this one on in that order.
+    k-mers, both have at least one in common. Those of a single component come first here, then
+    rare ones. ``rest`` is the number of the text's k-mers from this one on in that order.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,12 +420,15 @@ def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     counts = kmers.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")
     )
-    # k-mers of one component only join nothing, but take their places
+    counts = counts.where("a <> b").select("key", "n")
+    # k-mers of one component only join nothing: they come first, and only their number matters
     ranked = kmers.join(counts, "key")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "key"))
+    own = Window.partitionBy("node")
+    before = F.col("size") - F.count("*").over(own)
+    place = before + F.row_number().over(own.orderBy("n", "key"))
     ranked = ranked.withColumn("place", place)
     first = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
-    ranked = ranked.where((F.col("place") <= first) & (F.col("a") != F.col("b")))
+    ranked = ranked.where(F.col("place") <= first)
     rest = (F.col("size") - F.col("place") + 1).alias("rest")
     return ranked.select("key", "node", "component", "size", rest)
 
