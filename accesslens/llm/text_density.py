@@ -1,14 +1,17 @@
 """Main text of web pages by composite text density.
 
 A node's density is its characters per tag, lowered as more of them stand in links. The
-sum of its children's densities is largest for the node that holds the paragraphs of
-an article; the least density on the way from the body to that node is the threshold
+sum of its child blocks' densities is largest for the node that holds the paragraphs of
+an article (inline elements count as tags, but are no children: else a paragraph in bold
+would outdo the article); the least density on the way from the body to that node is the threshold
 that further nodes beside it or beside one above it, and link-heavy ones inside it, have
 to reach. Text that stands directly in a node on the way stays, with inline elements that
 aren't mostly links.
 
 Elements that never hold an article's text (scripts, navigation, forms, ...) and those
-whose class, id or role says so are left out before densities are computed.
+whose class, id or role says so are left out before densities are computed. Some of these
+words also stand at boxes around an article (``related-work``, ``toc-wrapper``): a box marked
+by them alone stays if it holds more of the page's text outside links than all else.
 """
 
 from __future__ import annotations
@@ -52,7 +55,7 @@ P_SCOPE = BLOCKS - {"p"}
 #: Elements without text of an article, and words of class, id or role that mark one.
 DROPPED = RAW | frozenset(
     "head nav footer aside form button select option datalist dialog menu template svg "
-    "canvas object applet audio video map math fieldset label input".split()
+    "canvas object applet audio video map fieldset input".split()
 )
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted "
@@ -64,6 +67,11 @@ MARKS = frozenset(
     "topbar toolbar skip copyright complementary contentinfo search searchbox "
     "form byline-share".split()
 )
+#: Of these, words that boxes around an article have, too.
+WEAK = frozenset(
+    "widget widgets related recommended recommendations trending share sharing social toc "
+    "overlay masthead skip sidebar sidebars search".split()
+)
 KEEP = frozenset("html body article main".split())
 ARTICLES = frozenset(("article", "main"))
 
@@ -86,12 +94,12 @@ HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Node:
     """An element: its children are nodes and pieces of text, in order."""
 
-    __slots__ = ("tag", "parent", "children", "dropped", "article", "inside", "chars",
-                 "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "dropped", "doubtful", "article", "inside",
+                 "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
-        self.article = tag in ARTICLES
+        self.article, self.doubtful = tag in ARTICLES, False
         self.dropped = tag in DROPPED or (bool(attributes) and self._marked(attributes))
         self.inside = parent is not None and (parent.inside or parent.article)
         # a header is the page's unless it is the article's
@@ -111,8 +119,10 @@ class Node:
                 self.article |= value == "articlebody"
             elif name == "role" and value in ("main", "article"):
                 self.article = True
-            elif self.tag not in KEEP and not MARKS.isdisjoint(SPLIT.split(value)):
-                return True
+            elif self.tag not in KEEP and (marks := MARKS.intersection(SPLIT.split(value))):
+                if not marks <= WEAK:
+                    return True
+                self.doubtful = True
             elif self.tag == "article" and "comment" in value:
                 return True
         return False
@@ -196,8 +206,25 @@ def _in_order(root: Node) -> list[Node]:
     return order
 
 
+def settle(root: Node) -> None:
+    """Drops doubtful boxes, but for those with most of the text outside links."""
+    order = _in_order(root)
+    if not any(node.doubtful for node in order):
+        return
+    for node in reversed(order):
+        node.chars = 0
+        if node.tag != "a":
+            node.chars = sum(
+                len("".join(c.split())) if isinstance(c, str) else 0 if c.dropped else c.chars
+                for c in node.children
+            )
+    for node in order:
+        node.dropped |= node.doubtful and 2 * node.chars <= root.chars
+
+
 def measure(root: Node) -> list[Node]:
     """Sets densities and their sums; returns nodes, parents before children."""
+    settle(root)
     order = _in_order(root)
     for node in reversed(order):
         own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
@@ -222,7 +249,9 @@ def measure(root: Node) -> list[Node]:
         adjusted = math.log(max(ratio, 1.0)) / math.log(max(base, 1 + 1e-9) + 1e-9)
         node.density = chars / tags * min(adjusted, 1e3)
         node.sum = sum(
-            c.density for c in node.children if isinstance(c, Node) and not c.dropped
+            c.density
+            for c in node.children
+            if isinstance(c, Node) and not c.dropped and c.tag in BLOCKS
         )
     return order
 
@@ -240,7 +269,8 @@ def select(order: list[Node]) -> list[Node]:
     threshold = min(n.density for n in path[: path.index(body) + 1 if body in path else None])
     article = next((n for n in path if n.article), None)
     if article is None and best is body:
-        article = next((n for n in order if n.article and n.density >= threshold), None)
+        dense = [n for n in order if n.article and n.density >= threshold]
+        article = max(dense, key=lambda n: n.chars, default=None)
     if article is not None:
         _drop_links(article, threshold)
         return [article]

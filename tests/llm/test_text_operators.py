@@ -1,7 +1,9 @@
 """Main text, fingerprints and compression bands against plain versions."""
 
 import hashlib
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -56,6 +58,84 @@ def test_text_beside_the_densest_node():
         assert text_density.main_text(html) == f"{lead.strip()}\n{kept}\n{end.strip()}", tag
 
 
+def _inside(node):
+    """All nodes of a subtree that stay, without the node."""
+    for child in node.children:
+        if isinstance(child, text_density.Node) and not child.dropped:
+            yield child
+            yield from _inside(child)
+
+
+def _text(node, links_only=False):
+    """Characters of a subtree that are not white space, counted anew."""
+    if links_only and node.tag != "a":
+        return sum(_text(n, True) for n in node.children
+                   if isinstance(n, text_density.Node) and not n.dropped)
+    parts = [node, *_inside(node)]
+    return sum(len(re.sub(r"\s", "", c)) for n in parts for c in n.children if isinstance(c, str))
+
+
+def _density(node, body):
+    chars, links = _text(node), _text(node, True)
+    if not chars:
+        return 0.0
+    tags = max(1, len(list(_inside(node))))
+    link_tags = max(1, sum(n.tag == "a" for n in _inside(node)))
+    page_share = _text(body, True) / max(1, _text(body))
+    base = math.log(chars / max(1, chars - links) * links + page_share * chars + math.e)
+    ratio = max(1.0, chars / max(1, links) * tags / link_tags)
+    adjusted = math.log(ratio) / math.log(base + 1e-9)  # a logarithm to this base
+    return chars / tags * min(1e3, adjusted)
+
+
+def _same_as_counted_anew(html):
+    root = text_density.parse(html)
+    order = text_density.measure(root)
+    nodes = [root, *_inside(root)]
+    assert order == nodes
+    body = next((n for n in nodes if n.tag == "body"), root)
+    for node in nodes:
+        assert node.density == pytest.approx(_density(node, body)), node.tag
+        blocks = [c for c in node.children if c in nodes and c.tag in text_density.BLOCKS]
+        assert node.sum == pytest.approx(sum(_density(c, body) for c in blocks))
+
+
+def test_densities_against_brute_force(spark, sf_dir):
+    given = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    for html in [*(h for h, _ in PAGES.values()), *given[:300]]:
+        _same_as_counted_anew(html or "")
+
+
+def test_density_finds_articles_without_their_tags(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()
+    same = 0
+    for row in pages:
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", row.html)
+        assert plain != row.html
+        same += text_density.main_text(plain) == text_density.main_text(row.html)
+    assert same >= 0.99 * len(pages)
+
+
+def test_marks_and_tags_don_t_outweigh_the_text():
+    long = "".join(f"<p>Paragraph {i} {'with words ' * 9}end</p>" for i in range(8))
+    text = "\n".join(f"Paragraph {i} {'with words ' * 9}end" for i in range(8))
+    links = "<ul>" + "".join(f"<li><a href=/{i}>also read {i}</a></li>" for i in range(9)) + "</ul>"
+    for html in (
+        f"<body><div class='article-body related-work'>{long}</div>{links}</body>",
+        f"<main><div class='toc-wrapper content share'>{long}</div></main>",
+        f"<body><div class=share><p>Share this</p></div><div class='post widget'>{long}"
+        f"<div class=related><p>Also read</p>{links}</div></div></body>",
+        f"<body><article><p>A teaser of some words</p></article><article>{long}</article></body>",
+        f"<body><div>{long}</div><div class='comments'>{long * 3}</div></body>",
+        f"<body><div>{long}</div><div class='related'><p>Also read</p></div></body>",
+        f"<body><div><p><b>Lead</b></p>{long}</div></body>",
+    ):
+        lead = "Lead\n" if "<b>" in html else ""
+        assert text_density.main_text(html) == lead + text, html[:60]
+    math_text = f"<article>{long}<p>so <math><mi>x</mi> = 2</math> <label>holds</label></p></article>"
+    assert text_density.main_text(math_text) == f"{text}\nso x = 2 holds"
+
+
 def test_pages_of_any_kind(spark):
     rows = [(i, "u", html, "x") for i, (html, _) in enumerate(PAGES.values())]
     rows += [(None, None, None, "x"), (0, "u", PAGES["article"][0], "x")]
@@ -121,6 +201,18 @@ def test_edited_texts_in_order(spark, ids):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
 
 
+def test_ranges_are_even_whatever_the_ids(spark):
+    ids = [*range(3000), 10**15, -(2**63), 2**63 - 1]
+    rows = [(i, "x") for i in ids] + [(i, "y") for i in (None, 7)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = weighted_sampling._ranges(documents, 10).collect()
+    counts = Counter(r.id_range for r in found)
+    assert len(found) == len(rows) and len(counts) == 10
+    assert max(counts.values()) < 2 * len(rows) / 10
+    order = [r.id_range for r in sorted(found, key=lambda r: (r.doc_id is not None, r.doc_id or 0))]
+    assert order == sorted(order)
+
+
 def test_edited_text():
     assert weighted_sampling.edited_text("abcde", "xyz") == "abcxy"
     assert weighted_sampling.edited_text("abcdef", "x") == "abcx"
@@ -172,6 +264,22 @@ def test_bands_reject_repetition_and_noise():
     assert kept == {"prose": True, "noise": False, "repeated": False, "half": False}
 
 
+def test_every_byte_is_in_a_chunk():
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(8)
+    prose = " ".join("".join(rng.choices("etaoinshrdlu", weights=range(12, 0, -1), k=rng.randrange(2, 9)))
+                     for _ in range(900))
+    for size in (2048, 2049, 3000, 4096, 5000):
+        seen = []
+        compression_bands.measure(prose[:size], lambda data: seen.append(data) or compress(data))
+        whole, *chunks = seen
+        assert whole == prose[:size].encode()
+        assert {len(c) for c in chunks} == {2048} and len(chunks) == -(-size // 2048)
+        assert whole.endswith(chunks[-1]) and b"".join(chunks[:-1]) == whole[: 2048 * (len(chunks) - 1)]
+    tail = prose[:4096] + "ab" * 500
+    assert compression_bands.measure(tail, compress)[-1] == pytest.approx(1 / 3)
+
+
 def test_good_documents_are_kept(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = QUERIES["op6_compression_bands"](spark, sf_dir)
