@@ -26,7 +26,7 @@ from accesslens.llm.common import WORDS, shuffle_partitions
 
 SAMPLES = 64
 RANGES = 4  # of ids for each task, so that tasks that are dealt more differ less
-CELLS = 16  # of the histogram of ids, for each range of them
+CELLS = 64  # of a sample of ids, for each range of them
 GROUP = 256  # texts that share a table of their words' values
 
 # Multipliers and shifts of a well-known 64-bit mixing function.
@@ -192,28 +192,33 @@ def edited_text(text: str, following: str) -> str:
 def _ranges(documents: DataFrame, n: int) -> DataFrame:
     """(id_range, doc_id, text): ranges of ids with about equal numbers of rows.
 
-    Ids are counted in cells of equal width between the least and the largest; runs
-    of cells make the ranges. What is collected are CELLS * n counts at most. Null ids
-    come first.
+    Ends of ranges are ids of a sample drawn by hash, of about CELLS rows for each range
+    whatever the ids are like. What is collected are its distinct ids with their numbers of
+    rows. Null ids come first.
     """
-    ids = documents.select("doc_id")
-    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
     docs = documents.select("doc_id", "text")
-    if low is None:
+    ids = docs.where("doc_id IS NOT NULL").select("doc_id")
+    step = max(1, ids.count() // (CELLS * n))
+    drawn = ids.where(F.pmod(F.xxhash64(F.lit("ranges"), "doc_id"), F.lit(step)) == 0)
+    sample = sorted(map(tuple, drawn.groupBy("doc_id").count().collect()))
+    each = max(1, -(-sum(rows for _, rows in sample) // n))
+    ends, total = [], 0
+    for doc_id, rows in sample:
+        if total // each > len(ends):
+            ends.append(doc_id)
+        total += rows
+    # halving: how many ends are at most the id
+    table = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<bigint>")
+    halves = [1 << i for i in reversed(range(len(ends).bit_length()))]
+    if not halves:
         return docs.withColumn("id_range", F.lit(0))
-    cells = max(1, min(CELLS * n, high - low + 1))
-    width = -(-(high - low + 1) // cells)
-    exact = "decimal(20,0)"  # ids can be further apart than a bigint tells
-    above = F.col("doc_id").cast(exact) - F.lit(str(low)).cast(exact)
-    cell = F.call_function("div", above, F.lit(str(width)).cast(exact)).cast("int")
-    counts = dict(ids.where("doc_id IS NOT NULL").groupBy(cell.alias("c")).count().collect())
-    each = max(1, -(-sum(counts.values()) // n))
-    ranges, total = [], 0
-    for c in range(cells):
-        ranges.append(str(total // each))
-        total += counts.get(c, 0)
-    table = F.split(F.lit(",".join(ranges)), ",").cast("array<int>")
-    return docs.withColumn("id_range", F.coalesce(F.get(table, cell), F.lit(0)))
+    below = F.aggregate(
+        F.array(*map(F.lit, halves)),
+        F.lit(0),
+        lambda low, half: low
+        + F.when(F.get(table, low + half - 1) <= F.col("doc_id"), half).otherwise(0),
+    )
+    return docs.withColumn("id_range", below)
 
 
 def _with_first_of_next(ranged: DataFrame) -> DataFrame:
