@@ -3,14 +3,14 @@
 Repetitive text compresses far better than prose, encoded or random text hardly at
 all. How well prose compresses depends on how much of it there is, so the limits do
 too. A ratio over the whole text misses a document half of which is junk; ratios of
-chunks of fixed size see it.
+chunks of fixed size see it. Every byte of a text that is as long as a chunk stands in
+one; the limits by length see a shorter text whole.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from accesslens.llm.common import WORDS, fresh
 
 LEVEL = 3
-CHUNK = 2048  # bytes; a last chunk of less than half goes with none
+CHUNK = 2048  # bytes; the last chunk is the text's end, and overlaps the one before
 
 #: Limits of UTF-8 bytes over compressed bytes: (from so many bytes, least, most).
 #: Set around the ratios that documents labelled good have at each length, with a
@@ -89,8 +89,8 @@ def measure(text: str, compress) -> tuple:
     repeated = repeated_words(words)
     data = text.encode("utf-8", "replace")
     ratio = len(data) / len(compress(data)) if data else 0.0
-    ends = [*range(0, len(data), CHUNK), len(data)]
-    chunks = [data[a:b] for a, b in pairwise(ends) if b - a >= CHUNK // 2]
+    starts = [*range(0, len(data) - CHUNK, CHUNK), len(data) - CHUNK]
+    chunks = [data[a : a + CHUNK] for a in starts if a >= 0]
     bad = bad_share([len(chunk) / len(compress(chunk)) for chunk in chunks])
     low, high = band(len(data))
     failed = len(words) < 50 or 100 * repeated > 50 * len(words)
