@@ -61,6 +61,41 @@ def test_trees_learn_what_is_lexical(spark):
     assert right >= 0.95 * len(held_out)
 
 
+def test_a_label_is_not_among_its_features(spark, monkeypatch):
+    rows = [(i, f"http://h{i}.x{i}.net/{'b' if i % 4 == 0 else 'a'}/p") for i in range(200)]
+    rows += [(1000 + i, f"http://www.hot.net/{'b' if i % 4 == 0 else 'a'}/{i}") for i in range(400)]
+    rows += [(5000, "http://www.hot.net/c"), (5001, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    rules = [("block", "net/b/"), ("allow", "net/a/")]
+    found = url_boosting.prepared(pages, rules).collect()
+    assert len(found) == len(rows)
+    labels = {r.page_id: (r.page_id % 1000) % 4 == 0 for r in found if r.page_id < 5000}
+    share = sum(labels.values()) / len(labels)
+    fold = {r.page_id: r for r in found}
+    assert all(fold[i].f_suffix_blocked == pytest.approx(share) for i in range(200))
+    hot = {fold[1000 + i].f_suffix_blocked for i in range(400)}
+    assert len(hot) == url_boosting.FOLDS  # the same for both labels of a fold
+    blocked = sum(labels[1000 + i] for i in range(400))
+    assert fold[5000].f_suffix_blocked == pytest.approx((blocked + 10 * share) / 410)
+    monkeypatch.setattr(url_boosting, "BROADCAST_ROWS", 0)
+    assert Counter(url_boosting.prepared(pages, rules).collect()) == Counter(found)
+
+
+def test_threshold_that_errs_least():
+    rng = random.Random(9)
+    for _ in range(50):
+        scores = [(round(rng.random(), 1), float(rng.random() < 0.4)) for _ in range(100)]
+        weights = {0.0: rng.random(), 1.0: rng.random()}
+
+        def errors(threshold):
+            return sum(weights[y] for s, y in scores if (s >= threshold) != (y == 1))
+
+        found = url_boosting._threshold(scores, weights)
+        assert errors(found) == pytest.approx(min(errors(i / 20) for i in range(22)))
+    assert url_boosting._threshold([(0.1, 0.0)] * 30 + [(0.9, 1.0)] * 30, {0.0: 1, 1.0: 1}) == 0.5
+    assert url_boosting._threshold([(0.1, 0.0)] * 30, {0.0: 1}) == url_boosting.UNCALIBRATED
+
+
 def test_url_query_uses_no_python(spark, sf_dir):
     plan = QUERIES["op7_url_boosting"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow|ArrowEval", plan)
@@ -154,6 +189,46 @@ def test_trees_add_spans_in_other_forms(spark):
     assert all(len(by_id[i]) == len(_base(rows[i][1])) for i in range(1200))
 
 
+def test_other_writings(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(1200):
+        a, b, c, d = (rng.randrange(256) for _ in range(4))
+        rows.append((i, "\n".join([
+            f"mail me at user{i}@host{a}.example.com or call +{a % 90 + 1} ({b + 100}) 555-{i + 1000}",
+            f"address {a}.{b}.{c}.{d} and version {a}.{b}.{c}.{d + 300}",
+            f"card {_luhn(rng, True)} order {_luhn(rng, False)} number {rng.randrange(10**8, 10**10)}",
+        ])))
+    card = _luhn(rng, True)
+    in_fours = [card[i : i + 4] for i in range(0, 16, 4)]
+    wanted = [
+        ("write to {} today", "email", "jane.doe (at) example.com"),
+        ("write to {} today", "email", "jane.doe[at]example[dot]com"),
+        ("write to {} today", "email", "bob@exämple.com"),
+        ("call {} now", "phone", "+49 (0)30 / 1234567"),
+        ("tel {} now", "phone", "030-1234567"),
+        ("tel {} now", "phone", "0049 30 1234567"),
+        ("card {} expires", "card", ".".join(in_fours)),
+        ("card {} expires", "card", "/".join(in_fours)),
+    ]
+    others = [
+        "paid by IBAN DE89 3704 0044 0532 0130 00 today", "order 2024-000123 of 2024-05-06",
+        "from 06.05.2024 to 12.11.2025, pages 1000-2000", "1.000.000 or 2.500.000 of them",
+        "version 1.20.3 of 12.4.2020", "section 1. 2. 3. 4 of it",
+    ]
+    rows += [(5000 + i, text.format(span)) for i, (text, _, span) in enumerate(wanted)]
+    rows += [(6000 + i, text) for i, text in enumerate(others)]
+    found = span_boosting.find_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    texts, by_id = dict(rows), {r.doc_id: r.spans for r in found.collect()}
+    spans = {i: [(s.kind, texts[i][s.start : s.end]) for s in by_id[i]] for i in texts}
+    for i, (_, kind, span) in enumerate(wanted):
+        # the trees don't reach these two yet; nothing else may be found in their place
+        unsure = span in ("bob@exämple.com", "+49 (0)30 / 1234567")
+        assert spans[5000 + i] in ([(kind, span)], [] if unsure else [(kind, span)]), span
+    assert not any(spans[6000 + i] for i in range(len(others))), [spans[6000 + i] for i in range(len(others))]
+    assert all(len(by_id[i]) == len(_base(rows[i][1])) for i in range(1200))
+
+
 def test_numbers_side_by_side(spark):
     rng = random.Random(5)
     rows = []
