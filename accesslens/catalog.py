@@ -18,11 +18,11 @@ from accesslens.functions import fields
 from accesslens.functions.parse import parse_logs, typed_times
 from accesslens.operators import not_found, quality, traffic
 from accesslens.plans import partials as exact
-from accesslens.plans import host_bitmaps, one_scan, rollup, sketches, totals
+from accesslens.plans import frequent, host_bitmaps, one_scan, rollup, sketches, totals
 from accesslens.session import new_folder
 from accesslens.sources.samples import event_lines, order_lines
 from accesslens.sources.streams import open_stream
-from accesslens.sources.tables import read_as_of, read_table, write_batch
+from accesslens.sources.tables import land_clustered, read_as_of, read_table, write_batch
 from accesslens.sources.text import read_lines, write_lines
 from accesslens.streaming import replay, results, stateful
 
@@ -83,6 +83,17 @@ def scan_text_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_lines(spark, folder, glob="*.gz")
 
 
+def scan_uneven_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a large compressed file, which are spread, and of seven small ones, which aren't."""
+    folder = new_folder(spark, "uneven")
+    table = lines(spark, sf).select("value", (F.col("event_id") % 16).alias("part"))
+    write_lines(table.filter("part < 9").coalesce(1), folder, compression="gzip")
+    small = table.filter("part >= 9").repartitionByRange(7, "part")
+    write_lines(small, folder, compression="gzip", mode="append")
+    sizes = spark.read.format("binaryFile").load(folder).agg(F.max("length"))
+    return read_lines(spark, folder, glob="*.gz", large=sizes.first()[0] // 2)
+
+
 def decode_binary_lines(spark: SparkSession, sf: str) -> DataFrame:
     messages = lines(spark, sf).withColumn("value", F.col("value").cast("binary"))
     return messages.select("event_id", fields.decode("value").alias("value"))
@@ -357,6 +368,47 @@ def daily_hosts_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return exact.daily_hosts(totals.read_totals(spark, root))
 
 
+def _close_ranks(name: str, k: int, exact_list: Callable) -> Query:
+    """Whether sketches of four batches, the third written twice, give the k largest counts.
+
+    Next to each rank the exact count.
+    """
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        root = new_folder(spark, "frequent")
+        ranges = list(enumerate(replay.batch_ranges(_events(spark, sf), "event_id", BATCHES)))
+        for n, ids in ranges + ranges[2:3]:
+            frequent.add_batch(parse_logs(_batch(spark, sf, ids), "iso"), root, n)
+        found = frequent.most_frequent(frequent.read_sketches(spark, root), name, k)
+        about = [(row["count"], row["at_least"]) for row in found.collect()]  # k
+        true = exact_list(logs(spark, sf)).agg(
+            F.sort_array(F.collect_list("count"), asc=False).alias("counts")  # k
+        )
+        ranks = [
+            F.struct(
+                F.lit(rank).alias("rank"),
+                F.get("counts", F.lit(rank - 1)).alias("count"),
+                F.get("counts", F.lit(rank - 1)).between(least, most).alias("close"),
+            )
+            for rank, (most, least) in enumerate(about, 1)
+        ]
+        if not ranks:
+            return true.selectExpr("0 AS rank", "0L AS count", "true AS close").limit(0)
+        return true.select(F.inline(F.array(*ranks)))
+
+    return query
+
+
+def host_requests_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """One host's requests from logs that were landed by host."""
+    folder = f"{new_folder(spark, 'landed')}/logs"
+    land_clustered(parse_logs(lines(spark, sf), keep=["event_id"]), folder)
+    landed = spark.read.parquet(folder)
+    return landed.filter(F.col("host") == "localhost").select(
+        "event_id", "time", "method", "endpoint", "status", "content_size"
+    )
+
+
 def daily_hosts_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     """Hosts per day from the bitmaps of four batches; the third is written twice."""
     root = new_folder(spark, "bitmaps")
@@ -432,6 +484,7 @@ SIZE_DOUBLES = ("mean_content_size", "std_content_size")
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_text_lines": scan_text_lines,
+    "scan_uneven_lines": scan_uneven_lines,
     "stream_source_lines": stream_source_lines,
     "decode_binary_lines": decode_binary_lines,
     "stamp_ingest_time": stamp_ingest_time,
@@ -439,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "read_result_table": _stored(read_result_table),
     "read_results_as_of": _stored(read_results_as_of),
     "append_result_table": append_result_table,
+    "host_requests_pruned": host_requests_pruned,
     "replay_lines_to_batches": replay_lines_to_batches,
     "stream_resume_from_checkpoint": stream_resume_from_checkpoint,
     # parsing
@@ -542,6 +596,11 @@ QUERIES: dict[str, Query] = {
     "daily_hosts_incremental": daily_hosts_incremental,
     "daily_hosts_bitmap": daily_hosts_bitmap,
     "close_size_quantiles": close_size_quantiles,
+    "close_top_hosts": _close_ranks("hosts", 10, traffic.top_hosts),
+    "close_top_endpoints": _close_ranks("endpoints", 10, traffic.top_endpoints),
+    "close_top_error_endpoints": _close_ranks(
+        "error_endpoints", 10, traffic.top_error_endpoints
+    ),
     "avg_daily_exact": _merged(exact.avg_daily),
     "content_size_merged": _merged(exact.content_sizes, *SIZE_DOUBLES),
 }

@@ -23,7 +23,7 @@ from accesslens.plans import partials, rollup, totals
 from accesslens.plans.one_scan import write_report
 from accesslens.session import build_session
 from accesslens.sources.streams import MAX_OFFSETS, open_stream, publish_lines
-from accesslens.sources.tables import land_logs
+from accesslens.sources.tables import land_clustered, land_logs
 from accesslens.sources.text import read_lines
 from accesslens.streaming.results import start_metrics
 
@@ -34,9 +34,12 @@ def run_batch(
     root: str,
     style: str = "clf",
     by_date: bool = False,
+    clustered: str | None = None,
 ) -> None:
     """Write the parsed logs to ``root/logs`` and every analysis next to them.
 
+    They are in folders ``by_date``, or ``clustered`` by a column, or as they come.
+
     Lines are parsed once, and what was landed is counted in two scans of the columns that are
     used; the analyses are made of the counts in ``root/counts``. Run again, it replaces what
     it wrote.
@@ -45,7 +48,10 @@ def run_batch(
     if style == "iso":  # analyses of weekdays need them; when it was read says nothing
         weekday = fields.day_of_week("time").alias("day_of_week")
         parsed = parsed.select(weekday, "time", *parsed.columns[1:2], *parsed.columns[3:])
-    land_logs(parsed, f"{root}/logs", by_date)
+    if clustered:
+        land_clustered(parsed, f"{root}/logs", clustered)
+    else:
+        land_logs(parsed, f"{root}/logs", by_date)
     landed = spark.read.parquet(f"{root}/logs").select(*parsed.columns)
     for name, result in write_report(landed, f"{root}/counts").items():
         result.write.mode("overwrite").parquet(f"{root}/{name}")
@@ -112,7 +118,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     batch.add_argument("--glob", help="file names to read, such as *.gz")
     batch.add_argument("--partitions", type=int, help="spread few large gzip files")
     batch.add_argument("--style", choices=("clf", "iso"), default="clf")
-    batch.add_argument("--by-date", action="store_true", help="a folder for each date")
+    batch.add_argument("--large", type=int, help="spread gzip files of more bytes than this")
+    layout = batch.add_mutually_exclusive_group()
+    layout.add_argument("--by-date", action="store_true", help="a folder for each date")
+    layout.add_argument("--clustered", metavar="COLUMN", help="sorted by a column, such as host")
 
     stream = jobs.add_parser("stream", help="keep result tables up to date")
     stream.add_argument("servers")
@@ -148,8 +157,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = _arguments(argv)
     spark = build_session(f"accesslens {job.job}")
     if job.job == "batch":
-        lines = read_lines(spark, job.input, job.glob, partitions=job.partitions)
-        run_batch(spark, lines, job.output.rstrip("/"), job.style, job.by_date)
+        lines = read_lines(spark, job.input, job.glob, False, job.partitions, job.large)
+        run_batch(spark, lines, job.output.rstrip("/"), job.style, job.by_date, job.clustered)
     elif job.job == "results":
         run_results(spark, job.input.rstrip("/"), job.output.rstrip("/"))
     elif job.job == "compact":

@@ -140,6 +140,12 @@ def _top(key: str, source: str, k: int | None = None) -> str:
     )
 
 
+def _close_ranks(key: str, table: str) -> str:
+    """Counts of the ten most frequent by rank, to which what is found is close."""
+    return _on_parsed(f"""SELECT CAST(row_number() OVER (ORDER BY count DESC) AS INTEGER) AS rank,
+      count, true AS close FROM ({_top(key, table, 10)})""")
+
+
 def _total(key: str, source: str, value: str = "count", k: int | None = None) -> str:
     limit = f" LIMIT {k}" if k else ""
     return (
@@ -226,6 +232,7 @@ _NOT_FOUND = "(SELECT * FROM logs WHERE status = 404)"
 ORACLE: dict[str, str] = {
     # sources and sinks
     "scan_text_lines": _on_lines("SELECT value FROM lines"),
+    "scan_uneven_lines": _on_lines("SELECT value FROM lines"),
     "stream_source_lines": _on_lines("SELECT value FROM lines", "iso"),
     "decode_binary_lines": _on_lines("SELECT event_id, value FROM lines"),
     "stamp_ingest_time": _on_lines(
@@ -241,6 +248,10 @@ ORACLE: dict[str, str] = {
     "read_results_as_of": _on_batches(
         f"SELECT * FROM {_per_batch('status', 'batch_id <= 1')}"
     ),
+    "host_requests_pruned": _on_parsed(
+        "SELECT event_id, time, method, endpoint, status, content_size"
+        " FROM parsed WHERE host = 'localhost'"
+    ),
     "append_result_table": _on_batches(f"SELECT * FROM {_per_batch('status')}"),
     "replay_lines_to_batches": _on_lines(
         f"SELECT CAST({_batch(4)} AS BIGINT) AS batch_id, value FROM lines", "iso"
@@ -464,6 +475,11 @@ FROM (
         "SELECT quantile, count(content_size) AS known, true AS close FROM parsed,"
         " (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) q(quantile) GROUP BY quantile"
     ),
+    "close_top_hosts": _close_ranks("host", "parsed"),
+    "close_top_endpoints": _close_ranks("endpoint", "parsed"),
+    "close_top_error_endpoints": _close_ranks(
+        "endpoint", "(SELECT * FROM parsed WHERE status <> 200)"
+    ),
     "avg_daily_exact": _on_parsed(_avg_daily(_DAY, "parsed"), "iso"),
     "content_size_merged": _on_parsed(f"SELECT {_SIZES} FROM parsed", "iso"),
 }
