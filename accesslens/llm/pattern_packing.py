@@ -2,9 +2,9 @@
 
 Patterns of a few documents whose lengths add up to a full sequence are enumerated over
 classes of lengths; how often to repeat each is fitted to the histogram of lengths by
-non-negative least squares and rounded. Each repetition opens a sequence with all but
-the shortest documents of its pattern. The remaining documents, longest first, go where
-they leave the least room, or open further sequences.
+non-negative least squares and rounded. Each repetition is a sequence with the documents of
+its pattern. The remaining documents, longest first, go where they leave the least room, or
+open further sequences.
 
 All this works on the histogram, which has a row for each length however many documents
 there are: documents of equal length are interchangeable, so a plan says how many
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm import tokens
-from accesslens.llm.common import written
+from accesslens.llm.common import fresh, written
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 CLASSES = 128  # of lengths; patterns are sums of them
@@ -89,7 +89,7 @@ def cut_pieces(
 def patterns(classes: int) -> np.ndarray:
     """Multisets of two to four classes that add up to ``classes``, as counts.
 
-    Of four, those whose classes are multiples of an eighth of the whole, so that
+    Of four, those whose classes are multiples of a sixteenth of the whole, so that
     short documents have patterns too without too many of these.
     """
     found = []
@@ -160,19 +160,23 @@ def _take(lengths: dict[int, int], order: list[int], n: int) -> list[tuple[int,
     return taken
 
 
-def _opened(left: dict[int, int], max_tokens: int) -> Plan:
-    """Sequences that hold all but the shortest documents of fitted patterns.
+def _filled(left: dict[int, int], max_tokens: int, up: int) -> Plan:
+    """Sequences that hold fitted patterns; takes what they hold from ``left``.
 
-    Takes what they hold from ``left``. A pattern is repeated as often as the fit says
-    and its classes have documents.
+    A length's class is (length + ``up``) // the width of classes. A pattern is repeated as
+    often as the fit says and its classes have documents. The last place of a pattern goes to
+    the longest document that fits there: as lengths vary within their classes, that may be
+    one of a class next to the pattern's.
     """
     width = -(-max_tokens // CLASSES)
     classes = max_tokens // width
     of_class: dict[int, list[int]] = defaultdict(list)
-    for length in sorted(left):
-        of_class[-(-length // width)].append(length)
+    lengths = sorted(left)
+    for length in lengths:
+        of_class[(length + up) // width].append(length)
     histogram = np.zeros(classes + 1)
-    for c in range(1, classes):  # longer documents fill a sequence alone
+    # longer documents fill a sequence alone; with the shortest, other classes might leave no room
+    for c in range(2, classes):
         histogram[c] = sum(left[x] for x in of_class[c])
     counts = patterns(classes)
     counts = counts[:, (counts[histogram == 0] == 0).all(axis=0)]
@@ -189,10 +193,10 @@ def _opened(left: dict[int, int], max_tokens: int) -> Plan:
         repeats = int(min(fitted[column] + 0.5, most))
         if not repeats:
             continue
-        histogram[used] -= repeats * counts[used, column]
         pattern = [c for c in used[::-1] for _ in range(int(counts[c, column]))]
         groups: Plan = [((), repeats)]
         for c in pattern[:-1]:
+            histogram[c] -= repeats
             taken = _take(left, of_class[c], repeats)
             split: Plan = []
             for contents, n in groups:
@@ -204,15 +208,46 @@ def _opened(left: dict[int, int], max_tokens: int) -> Plan:
                     if some > now:
                         taken.append((length, some - now))
             groups = split
-        plan += groups
+        for contents, n in groups:
+            room = max_tokens - sum(length for length, _ in contents)
+            while n:
+                at = bisect.bisect_right(lengths, room) - 1
+                while at >= 0 and not left[lengths[at]]:
+                    del lengths[at]
+                    at -= 1
+                if at < 0:
+                    plan.append((contents, n))
+                    break
+                length = lengths[at]
+                now = min(n, left[length])
+                plan.append(((*contents, (length, 1)), now))
+                n -= now
+                left[length] -= now
+                c = (length + up) // width
+                if c < classes:
+                    histogram[c] -= now
+                if not left[length]:
+                    of_class[c].remove(length)
     return plan
 
 
 def pack_histogram(histogram: dict[int, int], max_tokens: int) -> Plan:
-    """Contents of sequences that hold each length as often as the histogram says."""
+    """Contents of sequences that hold each length as often as the histogram says.
+
+    Patterns are fitted twice, to classes of lengths rounded up and to the nearest: rounded up
+    all patterns fit, to the nearest they are full on average. The plan with fewer sequences
+    counts.
+    """
+    width = -(-max_tokens // CLASSES)
+    plans = [_packed(histogram, max_tokens, up) for up in (width - 1, width // 2)]
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
+def _packed(histogram: dict[int, int], max_tokens: int, up: int) -> Plan:
+    """Fitted patterns, and best fit for the rest in the room they leave."""
     left = {length: n for length, n in histogram.items() if n}
     spaces: dict[int, list[list]] = defaultdict(list)  # room -> [contents, count]
-    for contents, n in _opened(left, max_tokens):
+    for contents, n in _filled(left, max_tokens, up):
         room = max_tokens - sum(length * m for length, m in contents)
         spaces[room].append([contents, n])
     rooms = sorted(spaces)
@@ -276,7 +311,8 @@ def pack_pieces(pieces: DataFrame, max_tokens: int) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with their places.
 
     Adds sequence_id and offset: pieces of a sequence stand side by side from 0 and
-    add up to at most ``max_tokens``. Any other columns of the pieces are kept; pieces
+    add up to at most ``max_tokens``. Any other columns of the pieces are kept, whatever
+    their names but those two; pieces
     longer than a sequence are an error. No pieces give no rows.
 
     ``pieces`` is read twice, so it should be stored. Pieces are ranked among those of
@@ -289,40 +325,36 @@ def pack_pieces(pieces: DataFrame, max_tokens: int) -> DataFrame:
     if histogram and (max(histogram) > max_tokens or min(histogram) < 1):
         raise ValueError("a piece has no length between 1 and max_tokens")
     rows = slots(pack_histogram(histogram, max_tokens))
+    names = ("buckets", "bucket", "within", "before", "rank", "slot_length")
+    buckets, bucket, within, before, rank, slot_length = (fresh(pieces, f"rank_{n}") for n in names)
+    slot = [fresh(pieces, f"slot_{n}") for n in ("from", "to", "each", "sequence", "offset")]
     places = spark.createDataFrame(
-        rows,
-        "length bigint, slot_from bigint, slot_to bigint, slot_each bigint, "
-        "slot_sequence bigint, slot_offset bigint",
+        rows, ", ".join(f"{name} bigint" for name in (slot_length, *slot))
     )
-    buckets = spark.createDataFrame(
+    dealt = spark.createDataFrame(
         [(length, n // RANK_ROWS + 1) for length, n in histogram.items()],
-        "length bigint, rank_buckets bigint",
+        f"length bigint, {buckets} bigint",
     )
     key = F.xxhash64("doc_id", "piece", "ids_crc32")
-    dealt = pieces.join(F.broadcast(buckets), "length")
-    dealt = dealt.withColumn("rank_bucket", F.pmod(key, F.col("rank_buckets")))
-    same = Window.partitionBy("length", "rank_bucket")
+    dealt = pieces.join(F.broadcast(dealt), "length")
+    dealt = dealt.withColumn(bucket, F.pmod(key, F.col(buckets)))
+    same = Window.partitionBy("length", bucket)
     ranked = dealt.withColumn(
-        "rank_within", F.row_number().over(same.orderBy("doc_id", "piece", "ids_crc32"))
-    )
-    before = Window.partitionBy("length").orderBy("rank_bucket")
-    totals = dealt.groupBy("length", "rank_bucket").count()
-    totals = totals.withColumn("rank_before", F.sum("count").over(before) - F.col("count"))
-    ranked = ranked.join(totals.drop("count"), ["length", "rank_bucket"])
-    rank = F.col("rank_before") + F.col("rank_within") - 1
-    ranked = ranked.withColumn("slot_rank", rank)
-    fits = (F.col("slot_rank") >= F.col("slot_from")) & (
-        F.col("slot_rank") < F.col("slot_to")
+        within, F.row_number().over(same.orderBy("doc_id", "piece", "ids_crc32"))
     )
-    placed = ranked.join(F.broadcast(places.withColumnRenamed("length", "slot_length")),
-                         (F.col("length") == F.col("slot_length")) & fits)
-    nth = F.col("slot_rank") - F.col("slot_from")
+    earlier = Window.partitionBy("length").orderBy(bucket)
+    totals = dealt.groupBy("length", bucket).agg(F.count(F.lit(1)).alias(within))
+    totals = totals.withColumn(before, F.sum(within).over(earlier) - F.col(within))
+    ranked = ranked.join(totals.drop(within), ["length", bucket])
+    ranked = ranked.withColumn(rank, F.col(before) + F.col(within) - 1)
+    first, end, each, sequence, offset = (F.col(name) for name in slot)
+    fits = (F.col(rank) >= first) & (F.col(rank) < end)
+    placed = ranked.join(F.broadcast(places), (F.col("length") == F.col(slot_length)) & fits)
+    nth = F.col(rank) - first
     return placed.select(
-        *[F.col(c) for c in pieces.columns],
-        (F.col("slot_sequence") + F.floor(nth / F.col("slot_each"))).cast("bigint").alias(
-            "sequence_id"
-        ),
-        (F.col("slot_offset") + nth % F.col("slot_each") * F.col("length")).alias("offset"),
+        *[F.col(f"`{c}`") for c in pieces.columns],
+        (sequence + F.floor(nth / each)).cast("bigint").alias("sequence_id"),
+        (offset + nth % each * F.col("length")).alias("offset"),
     )
 
 

@@ -119,6 +119,41 @@ def test_few_sequences(tmp_path):
     assert sum(n for _, n in plan) <= 1.002 * -(-sum(lengths) // 4096) + 1
 
 
+@pytest.mark.parametrize(
+    ("lengths", "fewest"),
+    [
+        ({1800: 1000, 1300: 1000, 996: 1000}, 1000),  # each sequence holds one of each
+        ({2088: 600, 1104: 600, 1064: 600, 944: 1200}, 900),
+        ({2500: 700, 1596: 700, 1100: 300, 700: 300, 400: 1}, 832),  # tokens / 4,096
+    ],
+)
+def test_whole_patterns_need_fewer_sequences_than_best_fit(lengths, fewest, monkeypatch):
+    def packed():
+        plan = pattern_packing.pack_histogram(dict(lengths), 4096)
+        return sum(n for _, n in plan)
+
+    found = packed()
+    monkeypatch.setattr(pattern_packing, "_filled", lambda left, max_tokens, up: [])
+    alone = packed()
+    assert fewest <= found <= alone
+    assert found <= 1.06 * fewest
+    if fewest in (900, 1000):
+        assert found < 0.95 * alone
+
+
+def test_fitted_patterns_are_placed_whole():
+    """Whatever the fit says is in sequences that are full but for what no document fills."""
+    random.seed(8)
+    left = Counter(random.randint(700, 2500) for _ in range(5000))
+    before = left.total()
+    plan = pattern_packing._filled(left, 4096, 31)
+    placed = sum(n * sum(m for _, m in contents) for contents, n in plan)
+    assert placed + left.total() == before and placed > before / 2
+    assert all(len(contents) >= 2 for contents, _ in plan)
+    rooms = [4096 - sum(length * m for length, m in contents) for contents, n in plan for _ in range(n)]
+    assert min(rooms) >= 0 and sum(rooms) / len(rooms) < 64
+
+
 def test_nnls_against_projected_gradient():
     rng = np.random.default_rng(0)
     a, b = rng.random((12, 30)), rng.random(12)
@@ -170,6 +205,25 @@ def test_packed_documents(spark, documents, monkeypatch):
     assert all(len(r.ids) == 4 * sum(r.lengths) for r in whole)
 
 
+def test_pieces_keep_columns_with_clashing_names(spark):
+    names = ("rank_buckets", "rank_bucket", "rank_within", "rank_before", "rank_rank",
+             "rank_slot_length", "slot_from", "slot_to", "slot_each", "slot_sequence", "slot_offset")
+    extra = [(F.col("id") * (n + 2)).alias(name) for n, name in enumerate(names)]
+    pieces = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).alias("start"),
+        (F.col("id") % 90 + 1).alias("length"), F.col("id").alias("ids_crc32"),
+        F.col("id").alias("a.b"), *extra,
+    )
+    packed = pattern_packing.pack_pieces(pieces, 100)
+    assert packed.columns == [*pieces.columns, "sequence_id", "offset"]
+    rows = packed.collect()
+    assert len(rows) == 3000 and len({r.doc_id for r in rows}) == 3000
+    for r in rows:
+        assert r["a.b"] == r.doc_id
+        assert all(r[name] == r.doc_id * (n + 2) for n, name in enumerate(names))
+    _check_packed(rows, 100)
+
+
 def test_packing_an_empty_table(spark, documents):
     path = tokens.vocabulary(WORDS)
     packed = pattern_packing.pack_documents(documents.where("false"), path, 64)
