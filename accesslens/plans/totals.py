@@ -16,8 +16,12 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, fields as members
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.plans.partials import KEYS, Partials, added_up
@@ -69,36 +73,35 @@ def _name(number: int) -> str:
     return f"{number:020d}.json"
 
 
-def _write_run(spark: SparkSession, root: str, tables: dict[str, DataFrame], **run) -> Run:
-    place = f"{FOLDER}/runs/{uuid.uuid4().hex}"
-    for table, rows in tables.items():
-        added_up(rows, KEYS[table]).hint("rebalance").write.parquet(f"{root}/{place}/{table}")
-    return Run(place, **run)
-
-
-def _of_batches(spark: SparkSession, root: str, batches: dict[int, str]) -> Run:
-    """A run of batches; only their folders are read."""
+def _write_run(
+    spark: SparkSession, root: str, batches: dict[int, str], runs: Sequence[Run] = ()
+) -> Run:
+    """A run of batches and of runs; of the batches, only their folders are read."""
 
     def rows(table: str) -> DataFrame:
         parts = [
             read_place(spark, root, place, table, [n for n in batches if batches[n] == place])
             for place in sorted(set(batches.values()))
         ]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        return whole
+        parts += [spark.read.parquet(f"{root}/{run.place}/{table}") for run in runs]
+        return reduce(DataFrame.unionByName, parts)
 
-    return _write_run(spark, root, {table: rows(table) for table in KEYS}, batches=batches)
+    place = _write_tables(spark, root, {table: rows(table) for table in KEYS})
+    everything = {n: at for run in runs for n, at in run.batches.items()} | batches
+    return Run(place, everything, any(run.compacted for run in runs))
 
 
-def _together(spark: SparkSession, root: str, runs: list[Run]) -> Run:
-    """A run of runs."""
-    tables = {t: spark.read.parquet(*[f"{root}/{r.place}/{t}" for r in runs]) for t in KEYS}
-    batches = {n: place for run in runs for n, place in run.batches.items()}
-    return _write_run(
-        spark, root, tables, batches=batches, compacted=any(run.compacted for run in runs)
-    )
+def _write_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
+    """Add up the rows of each table, all at the same time; returns their place."""
+    place = f"{FOLDER}/runs/{uuid.uuid4().hex}"
+
+    def write(table: str) -> None:
+        counts = added_up(tables[table], KEYS[table])
+        counts.hint("rebalance").write.parquet(f"{root}/{place}/{table}")
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), tables))
+    return place
 
 
 def _changed(
@@ -134,12 +137,12 @@ def update_totals(spark: SparkSession, root: str) -> Totals | None:
     found = _changed(spark, root, now, last) if last else None
     if found is None:
         tables = {table: read_snapshot(spark, now, table) for table in KEYS}
-        whole = now.compacted is not None
-        runs = [_write_run(spark, root, tables, batches=now.batches, compacted=whole)]
+        place = _write_tables(spark, root, tables)
+        runs = [Run(place, now.batches, now.compacted is not None)]
     else:
         batches, runs = found
         if batches:
-            runs = _merged(spark, root, runs, _of_batches(spark, root, batches))
+            runs = _with_batches(spark, root, runs, batches)
     totals = Totals(last.number + 1 if last else 0, now.version, tuple(runs))
     lists = commits.Files(spark, f"{root}/{LISTS}")
     if not lists.create(_name(totals.number), json.dumps(asdict(totals))):
@@ -148,13 +151,19 @@ def update_totals(spark: SparkSession, root: str) -> Totals | None:
     return totals
 
 
-def _merged(spark: SparkSession, root: str, runs: list[Run], new: Run) -> list[Run]:
-    """Runs from large to small, with those put together that are no larger than what follows."""
+def _with_batches(
+    spark: SparkSession, root: str, runs: list[Run], batches: dict[int, str]
+) -> list[Run]:
+    """Runs from large to small; batches and runs no larger than what follows become one.
+
+    These are added up once, together with the batches, without a run of the batches alone.
+    """
     runs = sorted(runs, key=Run.size, reverse=True)
-    small = [new]
-    while runs and runs[-1].size() <= sum(run.size() for run in small):
+    small, size = [], float(len(batches))
+    while runs and runs[-1].size() <= size:
         small.append(runs.pop())
-    return [*runs, _together(spark, root, small) if len(small) > 1 else new]
+        size += small[-1].size()
+    return [*runs, _write_run(spark, root, batches, small)]
 
 
 def _delete_old(spark: SparkSession, root: str, lists, totals: Totals, last: Totals | None) -> None:

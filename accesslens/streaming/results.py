@@ -39,16 +39,16 @@ def write_results(
     its own columns.
     """
     spark = logs.sparkSession
-    if logs.isEmpty():  # reads one row and parses none
-        return
-    place = place_of_batch(spark, root, batch_id)
-    if place is None:
-        return
-    folder = f"{root}/{place}" if place else root
     counted = narrow(logs)
     if keep:
         counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # counting keeps all rows in all tasks; a look at one would begin with one task
+        empty = counted.count() == 0 if keep else counted.isEmpty()
+        place = None if empty else place_of_batch(spark, root, batch_id)
+        if place is None:
+            return
+        folder = f"{root}/{place}" if place else root
         partials = write_partials(spark, partial_counts(counted), folder, batch_id)
     finally:
         if keep:

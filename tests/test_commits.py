@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from accesslens.catalog import lines
+from accesslens.catalog import QUERIES, lines
 from accesslens.functions.parse import parse_logs
 from accesslens.operators import traffic
 from accesslens.plans import partials as exact
@@ -247,6 +247,39 @@ def test_totals_go_on_after_compactions(spark, slices):
     assert len(fresh.runs) <= 2
 
 
+def test_batches_and_runs_become_one_at_once(spark, slices, monkeypatch):
+    """A batch isn't written as a run of its own first."""
+    root = new_folder(spark, "at_once")
+    added, real = [], totals.added_up
+    monkeypatch.setattr(totals, "added_up", lambda rows, by: (added.append(by), real(rows, by))[1])
+    for n in range(2):
+        results.write_results(slices[n], root, n)
+        added.clear()
+        found = totals.update_totals(spark, root)
+        assert sorted(added) == sorted(exact.KEYS.values())
+    assert [set(run.batches) for run in found.runs] == [{0, 1}]
+    assert _all(totals.read_totals(spark, root)) == _all(exact.read_partials(spark, root))
+
+
+def test_lines_of_a_batch_are_parsed_once_by_all_tasks(spark, sf_dir, monkeypatch):
+    batches, real = [], results.write_results
+
+    def write(logs, root, batch_id, keep=True):
+        tasks = {r[0] for r in logs.select(F.spark_partition_id()).distinct().collect()}
+        batches.append((keep, len(tasks)))
+        real(logs, root, batch_id, keep)
+
+    monkeypatch.setattr(results, "write_results", write)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # so little would be one task
+    spark.conf.set(merging, False)
+    try:
+        QUERIES["daily_hosts_incremental"](spark, sf_dir)
+    finally:
+        spark.conf.unset(merging)
+    assert len(batches) == 5
+    assert all(keep and tasks > 1 for keep, tasks in batches)
+
+
 def test_old_runs_are_deleted(spark, slices):
     root = new_folder(spark, "old")
     for n in range(4):
