@@ -14,7 +14,7 @@ all k-mers of both, matched ones counted once.
 Equal texts are one node from the start. Among the nodes that share an entry, one is the
 hub with which the others are compared; the hub is the one with the most candidates,
 which in a group of edited copies is the text they were made from. Those that don't match
-it choose a new hub among themselves, until none is left or ``rounds`` have passed. Most
+it choose a new hub among themselves, until hubs match few or ``rounds`` have passed. Most
 entries are of one component then; of the others all pairs of nodes in different components
 are compared that weren't, if their sizes allow for 0.8. Where an entry has many nodes, these
 pairs are found by the rarest k-mers of its texts: two that match in 0.8 of all share one of the
@@ -43,6 +43,8 @@ ENTRIES = 32
 LENGTH = 6
 THRESHOLD = 0.8
 ROUNDS = 6
+#: Another round follows if more than one of so many of a round's pairs are alike.
+WORTH = 10
 #: Nodes of an entry of several components up to which all its pairs are compared.
 FEW = 16
 
@@ -355,11 +357,12 @@ def links(found: DataFrame, documents: DataFrame, threshold: float, rounds: int)
         pairs = pairs.toDF("hub", "node")
         found = verified(pairs, texts, threshold).select(low, high, "alike")
         results.append(written(found, "verified"))
+        n, matched = results[-1].agg(F.count(F.lit(1)), F.count_if("alike")).first()
+        if matched * WORTH <= n:
+            break  # the pairs that are open are found and compared below
         alike = _all(results).where("alike").select("low", "high")
         left = compared.join(alike, ["low", "high"], "left_anti")
         left = written(left.select("key", "node", "degree"), "round")
-        if left.isEmpty():
-            break
     alike = _all(results).where("alike")
     parts = components(alike.select(F.col("low").alias("u"), F.col("high").alias("v")))
     pairs = written(_open_pairs(active, parts, texts, threshold), "open")
@@ -415,7 +418,8 @@ def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFra
                     )
 
     schema = "key bigint, node bigint, component bigint, size bigint"
-    kmers = nodes.join(texts, "node").select("node", "component", "text")
+    # by node, or the tasks that read the texts would have very different numbers of them
+    kmers = nodes.join(texts, "node").select("node", "component", "text").repartition("node")
     kmers = written(kmers.mapInArrow(over, schema), "kmers")
     counts = kmers.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")

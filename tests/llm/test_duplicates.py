@@ -133,6 +133,55 @@ def test_one_entry_of_many_groups(spark, monkeypatch, few):
     assert len({parts[n] for n in nodes.values()}) == 20
 
 
+def test_rounds_end_when_hubs_match_few(spark, monkeypatch):
+    """Pairs of texts around one passage: hubs match their other only, and no link is lost."""
+    rng = random.Random(14)
+    rows = []
+    for _ in range(40):
+        words = _words(rng, 100)
+        rows += [words, [*words[:-6], *_words(rng, 6)]]
+    rows = list(enumerate(map(" ".join, rows)))
+    found = [(i, order_minhash.node_of(t), [1]) for i, t in rows]
+    found = spark.createDataFrame(found, "doc_id bigint, node bigint, keys array<bigint>")
+    rounds, real = [], order_minhash.written
+    monkeypatch.setattr(
+        order_minhash, "written", lambda df, purpose, *a, **k: (
+            rounds.append(purpose), real(df, purpose, *a, **k))[1],
+    )
+    edges = order_minhash.links(found, _table(spark, rows), 0.8, order_minhash.ROUNDS)
+    expected = {
+        tuple(sorted((order_minhash.node_of(rows[i][1]), order_minhash.node_of(rows[i + 1][1]))))
+        for i in range(0, 80, 2)
+    }
+    assert {tuple(sorted(e)) for e in edges.collect()} == expected
+    assert rounds.count("verified") == 2  # one round and the open pairs
+
+
+def test_kmers_come_from_even_tasks(spark, monkeypatch):
+    """Also where one task reads all the texts."""
+    rng = random.Random(15)
+    texts = [" ".join(_words(rng, 60)) for _ in range(400)]
+    nodes = [order_minhash.node_of(t) for t in texts]
+    table = spark.createDataFrame([(n, n) for n in nodes], "node long, component long")
+    stored = spark.createDataFrame(list(zip(nodes, texts, strict=True)), "node long, text string")
+    tables, real = {}, order_minhash.written
+
+    def kept(df, purpose, *args, **options):
+        tables[purpose] = real(df, purpose, *args, **options)
+        return tables[purpose]
+
+    monkeypatch.setattr(order_minhash, "written", kept)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # so little would be one task
+    spark.conf.set(merging, False)
+    try:
+        order_minhash._rare_kmers(table, stored.coalesce(1), 0.8)
+    finally:
+        spark.conf.unset(merging)
+    files = tables["kmers"].groupBy(F.input_file_name().alias("file")).count().collect()
+    assert len(files) > 1 and sum(f["count"] for f in files) == 400 * 56
+    assert max(f["count"] for f in files) < 2 * 400 * 56 / len(files)
+
+
 def test_rare_kmers_find_all_pairs_that_are_alike(spark):
     """Texts of a common passage and more or less of their own, of many sizes."""
     rng = random.Random(13)
