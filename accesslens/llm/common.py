@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accesslens.session import new_folder
@@ -64,3 +64,47 @@ def n_words(text: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def settled(df: DataFrame, purpose: str, *keys: str) -> DataFrame:
+    """``df``, written in parts and in an order that its rows decide, not where they were read.
+
+    Spark's trees choose the values they may cut at from rows by their place.
+    """
+    parts = df.repartition(shuffle_partitions(df.sparkSession), *keys)
+    return written(parts.sortWithinPartitions(*keys), purpose)
+
+
+#: Scores from 0 to 1 are cut into so many cells, whose sums every task gets.
+CELLS = 4_096
+
+
+def cumulated(
+    counted: DataFrame, by: Sequence[str], sums: Sequence[str], descending: bool = False
+) -> DataFrame:
+    """``counted`` with each of ``sums`` up to a row's score, as ``upto_...``, and the next score.
+
+    Rows are stored, and one for each score within ``by``. Each cell of scores is summed by
+    itself, so no task has the scores of all.
+    """
+    ends = F.max if descending else F.min
+    cell = F.floor(F.col("score") * (-CELLS if descending else CELLS))
+    counted = counted.withColumn("cell", cell)
+    order = Window.partitionBy(*by, "cell").orderBy(F.desc("score") if descending else "score")
+    cells = counted.groupBy(*by, "cell").agg(
+        *[F.sum(c).alias(c) for c in sums], ends("score").alias("start")
+    )
+    of_cells = Window.partitionBy(*by).orderBy("cell")
+    earlier = of_cells.rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        *by,
+        "cell",
+        F.lead("start").over(of_cells).alias("later"),
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in sums],
+    )
+    joined = counted.join(F.broadcast(cells), [*by, "cell"])
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.withColumns(
+        {f"upto_{c}": F.col(f"before_{c}") + F.sum(c).over(upto) for c in sums}
+        | {"next": F.coalesce(F.lead("score").over(order), "later")}
+    ).drop("cell", "later", *[f"before_{c}" for c in sums])

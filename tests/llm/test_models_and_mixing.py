@@ -96,6 +96,33 @@ def test_threshold_that_errs_least():
     assert url_boosting._threshold([(0.1, 0.0)] * 30, {0.0: 1}) == url_boosting.UNCALIBRATED
 
 
+def _fitted(monkeypatch, module):
+    """(label, weight) of the rows that a module's trees are fitted on, filled as it fits."""
+    rows = []
+
+    class Recording(module.GBTClassifier):
+        def _fit(self, dataset):
+            rows.extend(map(tuple, dataset.select("label", self.getWeightCol()).collect()))
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(module, "GBTClassifier", Recording)
+    return rows
+
+
+def test_all_labelled_urls_are_fitted(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 90}.{'net' if i % 3 else 'info'}/{'b' if i % 3 else 'a'}/{i}")
+            for i in range(900)]
+    pages = spark.createDataFrame([*rows, (1000, "http://h.com/")], "page_id bigint, url string")
+    features = url_boosting.prepared(pages, [("block", "net/b/"), ("allow", "info/a/")])
+    held_out = F.pmod(F.xxhash64(F.lit(url_boosting.SEED + 2), "host"), F.lit(4)) == 0
+    expected = features.where("label IS NOT NULL").where(~held_out).groupBy("label").count()
+    fitted = _fitted(monkeypatch, url_boosting)
+    model, threshold = url_boosting.fit(features, 60, trees=2)
+    assert Counter(label for label, _ in fitted) == dict(map(tuple, expected.collect()))
+    assert set(fitted) == {(0.0, 30 / 300), (1.0, 30 / 600)}
+    assert model is not None and 0 < threshold < 1
+
+
 def test_url_query_uses_no_python(spark, sf_dir):
     plan = QUERIES["op7_url_boosting"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow|ArrowEval", plan)
