@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import text_or_empty, written
+from accesslens.llm.common import cumulated, settled, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -70,9 +70,9 @@ MOST_DIGITS = 19
 #: Overlapping proposals that one task chooses from; larger groups are split first.
 TOGETHER = 2_000
 
-#: About so many labelled proposals are fitted, chosen by hash. Kinds and labels have equal
-#: shares; what rare ones don't use goes to the others.
-TRAINING_ROWS = 20_000
+#: All labelled proposals are fitted, with the weight of so many at most. Kinds and labels
+#: have equal shares of it; what rare ones don't use goes to the others.
+TRAINING_WEIGHT = 20_000
 TREES, DEPTH, SEED = 12, 5, 11
 #: Least precision of a threshold on held-out proposals, and of how many.
 PRECISION, LEAST_HELD_OUT = 0.98, 20
@@ -353,58 +353,73 @@ def _rewritten(labelled: DataFrame) -> DataFrame:
 # -- trees ----------------------------------------------------------------------------------
 
 
-def _quota(counts: list[int], rows: int) -> float:
-    """The most rows of each group, so that all groups have ``rows`` at most."""
+def _quota(counts: list[int], weight: int) -> float:
+    """The most weight of each group, so that all groups have ``weight`` at most."""
     for i, n in enumerate(ordered := sorted(counts)):
-        share = rows / (len(ordered) - i)
+        share = weight / (len(ordered) - i)
         if n > share:
             return share
-        rows -= n
+        weight -= n
     return float("inf")
 
 
-def _fit(labelled: DataFrame, rows: int) -> tuple[object, dict[str, float]]:
-    """Trees, and the threshold of each kind; none for kinds without the wanted precision."""
+def _fit(labelled: DataFrame, weight: int) -> tuple[object, dict[str, float]]:
+    """Trees, and the threshold of each kind; none for kinds without the wanted precision.
+
+    All rows are fitted, but for a quarter that is held out for the thresholds.
+    """
     order = F.xxhash64(F.lit(SEED), "h1", "h2", "kind", "start")
-    kept = ["kind", "label", "held_out", *FEATURES]
-    sample = labelled.withColumn("held_out", F.pmod(order, F.lit(4)) == 0)
-    drawn = F.pmod(F.xxhash64(F.lit(SEED + 1), "h1", "h2", "kind", "start"), F.lit(2**30))
-    sample = written(sample.select(*kept, drawn.alias("drawn"), order.alias("order")), "labelled")
+    marked = labelled.withColumns({"order": order, "held_out": F.pmod(order, F.lit(4)) == 0})
+    marked = settled(
+        marked.select("order", "kind", "label", "held_out", *FEATURES), "labelled", "order"
+    )
     counts = {(r["kind"], r["label"]): r["count"] for r in
-              sample.groupBy("kind", "label").count().collect()}
-    if not counts:
+              marked.groupBy("kind", "label").count().collect()}
+    if marked.where("NOT held_out").select("label").distinct().count() < 2:
         return None, {}
-    quota = _quota(list(counts.values()), rows)
-    shares = {group: min(1.0, quota / n) for group, n in counts.items()}
-    drawn = reduce(
-        lambda found, item: found
-        | ((F.col("kind") == item[0][0]) & (F.col("label") == item[0][1])
-           & (F.col("drawn") < item[1] * 2**30)),
-        shares.items(),
-        F.lit(False),
-    )
-    # the order of rows decides how the trees' bins are sampled
-    sample = written(sample.where(drawn).orderBy("order").select(*kept), "spans")
-    if sample.where("NOT held_out").select("label").distinct().count() < 2:
-        return None, {}
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    data = assembler.transform(sample)
-    few = data.where("NOT held_out").select("label", "features").coalesce(4)  # about ``rows``
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3).fit(few)
+    quota = _quota(list(counts.values()), weight)
+    weigh = reduce(
+        lambda found, item: found.when(
+            (F.col("kind") == item[0][0]) & (F.col("label") == item[0][1]), min(1.0, quota / item[1])
+        ),
+        counts.items(),
+        F.when(F.lit(False), 1.0),
+    )
+    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(marked)
+    fitted = data.where("NOT held_out").select("label", weigh.alias("weight"), "features")
+    booster = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3, weightCol="weight"
+    )
+    model = booster.fit(fitted)
     scored = model.transform(data.where("held_out"))
-    held_out = scored.select("kind", "label", vector_to_array("probability")[1].alias("score"))
-    by_kind: dict[str, list] = {kind: [] for kind in KINDS}
-    for row in held_out.collect():  # about a quarter of ``rows``
-        weight = 1 / shares[row["kind"], row["label"]]
-        by_kind[row["kind"]].append((row["score"], row["label"], weight))
-    thresholds = {k: _threshold(sorted(v, reverse=True)) for k, v in by_kind.items()}
+    thresholds = _calibrated(
+        scored.select("kind", "label", vector_to_array("probability")[1].alias("score"))
+    )
     return model, {k: t for k, t in thresholds.items() if t is not None}
 
 
+def _calibrated(scored: DataFrame) -> dict[str, float | None]:
+    """``_threshold`` of each kind's (kind, label, score) rows, of which there may be any number."""
+    counted = scored.groupBy("kind", "score").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("label") == 1).alias("right")
+    )
+    counted = written(counted, "scores")
+    totals = dict(map(tuple, counted.groupBy("kind").agg(F.sum("total")).collect()))
+    precise = cumulated(counted, ["kind"], ["total", "right"], descending=True).where(
+        (F.col("upto_total") >= LEAST_HELD_OUT)
+        & (F.col("upto_right") >= PRECISION * F.col("upto_total"))
+    )
+    least = precise.groupBy("kind").agg(F.min(F.struct("score", "next")).alias("least"))
+    halfway = (F.col("least.score") + F.coalesce("least.next", F.lit(0.0))) / 2
+    found = dict(map(tuple, least.select("kind", F.greatest(halfway, F.lit(0.5))).collect()))
+    few = {kind: UNCALIBRATED for kind in KINDS if totals.get(kind, 0) < LEAST_HELD_OUT}
+    return {kind: found.get(kind) for kind in KINDS} | few
+
+
 def _threshold(scores: list[tuple[float, float, float]]) -> float | None:
     """The least score down to which the wanted precision holds, by (score, label, weight).
 
-    A weight is the number of proposals that one of the sample stands for. The threshold is
+    A weight is the number of proposals that one of the list stands for. The threshold is
     halfway to the next score, as nothing speaks against those between, but a half at least.
     """
     if len(scores) < LEAST_HELD_OUT:
@@ -423,7 +438,7 @@ def _threshold(scores: list[tuple[float, float, float]]) -> float | None:
 # -- spans ------------------------------------------------------------------------------------
 
 
-def spans(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+def spans(documents: DataFrame, weight: int = TRAINING_WEIGHT) -> DataFrame:
     """(h1, h2, kind, start, end, base) of the spans of each distinct text that has one.
 
     h1 and h2 are hashes of the text, as ``text_keys`` gives them.
@@ -463,7 +478,7 @@ def spans(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     labelled = labelled.unionByName(_rewritten(labelled))
     labelled = labelled.unionByName(parts.withColumn("passes", F.lit(False)))
     labelled = _features(labelled).withColumn("label", F.col("passes").cast("double"))
-    model, thresholds = _fit(labelled, rows)
+    model, thresholds = _fit(labelled, weight)
 
     own = base.withColumns({"base": F.lit(True), "score": F.lit(2.0)})
     if model is None or not thresholds:
@@ -546,7 +561,7 @@ def text_keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
 
 
-def find_spans(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+def find_spans(documents: DataFrame, weight: int = TRAINING_WEIGHT) -> DataFrame:
     """doc_id and its spans, an array of (kind, start, end, base), ordered by kind and start.
 
     A null text is empty; a document without spans has an empty array. A row for each row;
@@ -559,7 +574,7 @@ def find_spans(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
         F.when(F.col("kind") == KINDS[0], 0),
     )
     span = F.struct(number.alias("k"), "start", "end", "kind", "base")
-    of_text = spans(documents, rows).groupBy("h1", "h2").agg(
+    of_text = spans(documents, weight).groupBy("h1", "h2").agg(
         F.array_sort(F.collect_list(span)).alias("s")
     )
 
@@ -573,14 +588,14 @@ def find_spans(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     return joined.select("doc_id", F.coalesce("spans", empty).alias("spans"))
 
 
-def redact(documents: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
+def redact(documents: DataFrame, weight: int = TRAINING_WEIGHT) -> DataFrame:
     """(doc_id, text) with every span replaced by its kind in brackets.
 
     Rows with a null doc_id or without spans keep their text; rows with equal ids and
     texts are treated alike.
     """
     texts = documents.select("doc_id", text_or_empty().alias("text"))
-    of_text = spans(documents, rows).groupBy("h1", "h2").agg(
+    of_text = spans(documents, weight).groupBy("h1", "h2").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("s")
     )
     marked = texts.withColumns(dict(zip(("h1", "h2"), text_keys(F.col("text")), strict=True)))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accesslens.llm import flow_mixing, span_boosting, url_boosting
+from accesslens.llm import common, flow_mixing, span_boosting, url_boosting
 from accesslens.llm.common import WORDS
 from accesslens.llm.queries import QUERIES
 
@@ -123,6 +123,31 @@ def test_all_labelled_urls_are_fitted(spark, monkeypatch):
     assert model is not None and 0 < threshold < 1
 
 
+def test_thresholds_of_any_number_of_scores(spark, monkeypatch):
+    rng = random.Random(10)
+    monkeypatch.setattr(common, "CELLS", 8)
+    for shift in (0.0, 0.3, 0.5):
+        rows = [("", y, round(min(1.0, rng.random() * 0.7 + shift * y), 2))
+                for y in (0.0, 1.0) for _ in range(60)]
+        rows += [("", 0.0, 0.0), ("", 1.0, 1.0)]
+        table = spark.createDataFrame(rows, "kind string, label double, score double")
+        expected = url_boosting._threshold([(s, y) for _, y, s in rows], {0.0: 1, 1.0: 1})
+        assert url_boosting._calibrated(table.drop("kind")) == expected
+        # three kinds: as they are, few, and mostly right
+        rows = [("email", y, s) for _, y, s in rows]
+        rows += [("ip", 1.0, 0.5)] * 19
+        rows += [("card", float(rng.random() < s * 1.5), s) for _, _, s in rows if s > 0.2]
+        table = spark.createDataFrame(rows, "kind string, label double, score double")
+        expected = {
+            kind: span_boosting._threshold(
+                sorted(((s, y, 1.0) for k, y, s in rows if k == kind), reverse=True)
+            )
+            for kind in span_boosting.KINDS
+        }
+        assert span_boosting._calibrated(table) == expected
+    assert url_boosting._calibrated(table.drop("kind").where("label = 1")) == url_boosting.UNCALIBRATED
+
+
 def test_url_query_uses_no_python(spark, sf_dir):
     plan = QUERIES["op7_url_boosting"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow|ArrowEval", plan)
@@ -291,6 +316,18 @@ def test_few_examples_of_a_kind(spark):
         assert [(s.kind, s.start, s.end, s.base) for s in found.spans] == [("ip", 8, 26, False)]
 
 
+def test_all_labelled_spans_are_fitted(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [f"{rng.randrange(10**8, 10**10)} is a number" for _ in range(400)]
+    texts += [f"write to name{i}@mail{i}.org or 1.{i % 250}.7.9" for i in range(300)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    fitted = _fitted(monkeypatch, span_boosting)
+    span_boosting.spans(table, 100)
+    # 400 numbers, 600 spans, 300 addresses as numbers, all rewritten too; a quarter is held out
+    assert len(fitted) > 1_000
+    assert sum(weight for _, weight in fitted) < 100
+
+
 @pytest.mark.parametrize("together", [2_000, 5])
 def test_best_spans_first(spark, monkeypatch, together):
     monkeypatch.setattr(span_boosting, "TOGETHER", together)
