@@ -2,9 +2,9 @@
 
 A text with a blank before it is tokenized by a byte-level vocabulary (A) and by a piece
 vocabulary (B), which adds that blank itself. Both give the bytes of the text, so a token has an
-end, the number of bytes up to it. The ends of either side are the keys of a dictionary to the
-token's index; the sorted intersection of the keys slices both lists into groups, and the links of
-a group are its tokens with overlapping bytes.
+end, the number of bytes up to it. The ends of either side are the keys to its tokens; the sorted
+intersection of the keys slices both lists into groups, and the links of a group are its tokens
+with overlapping bytes: one for each run of bytes between two ends of whichever side.
 
 Neither tokenizer has a token across a single blank between two other characters, nor across a
 line end between two: texts are cut before those, and both sides end a token there. So chunks
@@ -22,8 +22,10 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
-from itertools import accumulate
+from itertools import chain, compress, repeat
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -78,34 +80,59 @@ def piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace(BLANK, " ").encode()
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """(first, last + 1) of A and of B of each group, from the ends of the tokens."""
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
-    found, i, j = [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        next_i, next_j = index_a[end], index_b[end]
-        found.append((i, next_i, j, next_j))
-        i, j = next_i, next_j
-    return found
+@dataclass
+class Aligned:
+    """What is known of chunks, a row of each array for a chunk.
 
+    ``numbers`` are those of tokens of A and of B, of groups and of links, all zero where one side's
+    bytes aren't the chunk's (``good`` is false); ``texts`` the groups as text; ``pairs`` the linked
+    ids of all chunks in order, as ``a * n_pieces + b``.
+    """
+
+    good: np.ndarray
+    numbers: np.ndarray
+    texts: pa.Array
+    pairs: np.ndarray
+
+    @classmethod
+    def none(cls, n: int = 0) -> Aligned:
+        texts = pa.array([""] * n, pa.string())
+        return cls(np.zeros(n, bool), np.zeros((n, 4), np.int64), texts, np.zeros(0, np.int64))
+
+    def take(self, rows: np.ndarray) -> Aligned:
+        numbers = self.numbers[rows]
+        ends = np.cumsum(self.numbers[:, 3])
+        each = numbers[:, 3]
+        pairs = self.pairs[_runs(ends[rows] - each, each)]
+        return Aligned(self.good[rows], numbers, self.texts.take(pa.array(rows)), pairs)
+
+    @staticmethod
+    def joined(parts: list[Aligned]) -> Aligned:
+        return Aligned(
+            np.concatenate([p.good for p in parts]),
+            np.concatenate([p.numbers for p in parts]),
+            pa.concat_arrays([p.texts for p in parts]),
+            np.concatenate([p.pairs for p in parts]),
+        )
+
+
+def _runs(first: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run, ``each`` long, one run after the other."""
+    ends = np.cumsum(each)
+    return np.repeat(first - (ends - each), each) + np.arange(each.sum())
 
-def linked(ends_a: list[int], ends_b: list[int], group: tuple) -> list[tuple[int, int]]:
-    """Indices of the tokens of a group whose bytes overlap."""
-    i, last_i, j, last_j = group
-    found = []
-    while i < last_i and j < last_j:
-        found.append((i, j))
-        end_a, end_b = ends_a[i], ends_b[j]
-        i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-    return found
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in order, and how many each list has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, counts.sum()), counts
 
 
 class Aligner:
     """Tokenizes and aligns chunks; remembers the short ones it has met.
 
-    What it knows of a chunk: numbers of tokens of A and of B, of groups and of links, groups
-    as text, and pairs as ``a * n_pieces + b``; None if one side's bytes aren't the chunk's.
+    Chunks are aligned together: their bytes stand one after the other, so the ends of all their
+    tokens are a sorted array on either side, which no Python code goes through one by one.
     """
 
     def __init__(self, letters: str, pieces: str, remembered: int):
@@ -126,7 +153,14 @@ class Aligner:
         self.bytes_b = [piece_bytes(name) for name in names]
         self.blank_id = self.b.piece_to_id(BLANK)
         self.cuts = not any(re.search(rf"[^{BLANK}]{BLANK}|\n", name) for name in names)
-        self.known: dict[str, tuple | None] = {}
+        self.sizes_a = np.fromiter(map(len, self.bytes_a), np.int64, len(self.bytes_a))
+        self.sizes_b = np.fromiter(map(len, self.bytes_b), np.int64, self.n_pieces)
+        # ids with what follows them: inside a group; A's last there; B's; B's last of a chunk
+        n_a, n_b = range(len(self.bytes_a)), range(self.n_pieces)
+        kinds = [(n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";"), (n_b, "")]
+        self.written_out = pa.array([f"{i}{mark}" for n, mark in kinds for i in n], pa.string())
+        self.known: dict[str, int] = {}  # rows of what is remembered
+        self.rows = Aligned.none()
         self.remembered = remembered
 
     def cut(self, text: str) -> list[str]:
@@ -151,44 +185,82 @@ class Aligner:
             for i, b in zip(ids, blank, strict=True)
         ]
 
-    def _align(self, chunk: str, a: list[int], b: list[int]) -> tuple | None:
-        of_a = [self.bytes_a[i] for i in a]
-        of_b = [self.bytes_b[i] for i in b]
-        whole = chunk.encode("utf-8", "surrogatepass")
-        if b"".join(of_a) != whole or b"".join(of_b) != whole:
-            return None
-        ends_a, ends_b = list(accumulate(map(len, of_a))), list(accumulate(map(len, of_b)))
-        pairs, texts = [], []
-        for group in slices(ends_a, ends_b):
-            i, last_i, j, last_j = group
-            if last_i - i == 1 and last_j - j == 1:
-                pairs.append(a[i] * self.n_pieces + b[j])
-                texts.append(f"{a[i]}|{b[j]}")
-                continue
-            links = linked(ends_a, ends_b, group)
-            pairs += [a[x] * self.n_pieces + b[y] for x, y in links]
-            left, right = ",".join(map(str, a[i:last_i])), ",".join(map(str, b[j:last_j]))
-            texts.append(f"{left}|{right}")
-        return len(a), len(b), len(texts), len(pairs), ";".join(texts), pairs
-
-    def chunks(self, chunks: list[str]) -> list[tuple | None]:
+    def _sound(self, whole: list[bytes], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether both sides' bytes are a chunk's."""
+        good = np.full(len(whole), True)
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        text = b"".join(whole)
+        for ids, parts, lengths in (a, self.bytes_a, self.sizes_a), (b, self.bytes_b, self.sizes_b):
+            flat, counts = _flat(ids)
+            upto = np.concatenate(([0], np.cumsum(lengths[flat])))
+            own = np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
+            found = b"".join(map(parts.__getitem__, chain.from_iterable(ids)))
+            if found != text or (own != sizes).any():
+                each = (b"".join(map(parts.__getitem__, i)) for i in ids)
+                good &= np.fromiter(map(eq, each, whole), bool, len(whole))
+        return good
+
+    def _align(self, whole: list[bytes], a: list[list[int]], b: list[list[int]]) -> Aligned:
+        """Alignment of chunks with their bytes and ids of both sides, which give these bytes."""
+        (ids_a, n_a), (ids_b, n_b) = _flat(a), _flat(b)
+        of_chunks = np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        sides = np.zeros(of_chunks[-1] + 1, np.uint8)
+        sides[ends_a] = 1
+        sides[ends_b] |= 2
+        # a link for each run of bytes without an end of either side inside
+        links, ends = np.flatnonzero(sides), np.flatnonzero(sides == 3)
+        pairs = ids_a[np.searchsorted(ends_a, links)] * self.n_pieces
+        pairs += ids_b[np.searchsorted(ends_b, links)]
+        n_links = np.diff(np.searchsorted(links, of_chunks, "right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(ends, of_chunks, "right"), prepend=0)
+        # as text, a group's tokens of A stand before those of B
+        upto_a = np.searchsorted(ends_a, ends, "right")
+        upto_b = np.searchsorted(ends_b, ends, "right")
+        each_a, each_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        marked = np.empty(len(ids_a) + len(ids_b), np.int64)
+        coded_a, coded_b = ids_a.copy(), ids_b + 2 * len(self.bytes_a)
+        coded_a[upto_a - 1] += len(self.bytes_a)
+        coded_b[upto_b - 1] += self.n_pieces
+        coded_b[np.cumsum(n_b) - 1] += self.n_pieces
+        marked[np.arange(len(ids_a)) + np.repeat(upto_b - each_b, each_a)] = coded_a
+        marked[np.arange(len(ids_b)) + np.repeat(upto_a, each_b)] = coded_b
+        offsets = np.concatenate(([0], np.cumsum(n_a + n_b))).astype(np.int32)
+        parts = self.written_out.take(pa.array(marked))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), parts), "")
+        numbers = np.stack((n_a, n_b, n_groups, n_links), axis=1)
+        return Aligned(np.full(len(whole), True), numbers, texts, pairs)
+
+    def _new(self, chunks: list[str]) -> Aligned:
+        whole = [self._whole(c) for c in chunks]
+        a = [x.ids for x in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        b = self._pieces(whole)
+        whole = [w.encode("utf-8", "surrogatepass") for w in whole]
+        good = self._sound(whole, a, b)
+        if good.all():
+            return self._align(whole, a, b)
+        if not good.any():
+            return Aligned.none(len(chunks))
+        found = self._align(*(list(compress(x, good)) for x in (whole, a, b)))
+        rows = np.where(good, np.cumsum(good) - 1, len(found.good))
+        return Aligned.joined([found, Aligned.none(1)]).take(rows)
+
+    def chunks(self, chunks: list[str]) -> Aligned:
         """What is known of distinct chunks."""
-        known = self.known
-        new = [c for c in chunks if c not in known]
-        found: dict[str, tuple | None] = {}
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            whole = [self._whole(c) for c in part]
-            a = self.a.encode_batch_fast(whole, add_special_tokens=False)
-            for c, w, x, y in zip(part, whole, a, self._pieces(whole), strict=True):
-                found[c] = self._align(w, x.ids, y)
-        values = [found[c] if c in found else known[c] for c in chunks]
-        for c, value in found.items():
-            if len(known) >= self.remembered:
-                break
-            if len(c) <= LONGEST:
-                known[c] = value
-        return values
+        rows = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = [c for c, row in zip(chunks, rows.tolist(), strict=True) if row < 0]
+        if not new:
+            return self.rows.take(rows)
+        parts = [self._new(new[at : at + 10_000]) for at in range(0, len(new), 10_000)]
+        found = Aligned.joined(parts)
+        rows[rows < 0] = np.arange(len(new)) + len(self.known)
+        every = Aligned.joined([self.rows, found])
+        short = [i for i, c in enumerate(new) if len(c) <= LONGEST]
+        short = short[: max(0, self.remembered - len(self.known))]
+        if short:
+            self.known.update((new[i], row) for row, i in enumerate(short, len(self.known)))
+            self.rows = Aligned.joined([self.rows, found.take(np.array(short))])
+        return every.take(rows)
 
     def lists(self, texts: pa.Array) -> pa.ListArray:
         """Chunks of each text; none of empty ones."""
@@ -244,27 +316,24 @@ def align_texts(texts: pa.Array, aligned: Aligner) -> tuple[list[pa.Array], np.n
     where = np.asarray(coded.indices).astype(np.int64)
     starts = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
     known = aligned.chunks(coded.dictionary.to_pylist())
-    good = np.array([k is not None for k in known], bool)
-    bad_before = np.concatenate(([0], np.cumsum(~good[where])))
+    bad_before = np.concatenate(([0], np.cumsum(~known.good[where])))
     sound = (bad_before[starts[1:]] == bad_before[starts[:-1]]) & (starts[1:] > starts[:-1])
-    numbers = np.array([k[:4] if k else (0, 0, 0, 0) for k in known], np.int64).reshape(-1, 4)
+    numbers = known.numbers
     sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(numbers[where], axis=0)))
     totals = (sums[starts[1:]] - sums[starts[:-1]]) * sound[:, None]
-    written_out = pa.array([k[4] if k else "" for k in known], pa.string()).take(coded.indices)
+    written_out = known.texts.take(coded.indices)
     joined = pc.binary_join(
         pa.ListArray.from_arrays(pa.array(starts, pa.int32()), written_out), ";"
     )
     joined = pc.if_else(pa.array(sound), joined, "")
     # pairs by number among the distinct ones, at each place of a chunk, with its text
-    flat = np.array([p for k in known if k for p in k[5]], np.int64)
-    distinct, number = np.unique(flat, return_inverse=True)
+    distinct, number = np.unique(known.pairs, return_inverse=True)
     sizes = numbers[:, 3]
     first = np.cumsum(sizes) - sizes
     text_of = np.repeat(np.arange(len(lists)), starts[1:] - starts[:-1])
     used = where[sound[text_of]] if len(where) else where
     each = sizes[used]
-    ends = np.cumsum(each)
-    take = np.repeat(first[used] - (ends - each), each) + np.arange(each.sum())
+    take = _runs(first[used], each)
     owner = np.repeat(text_of[sound[text_of]] if len(where) else text_of, each)
     n = max(len(distinct), 1)
     keys, times = np.unique(owner * n + number[take], return_counts=True)

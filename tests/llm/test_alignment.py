@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against the plain way over whole texts."""
 
 import hashlib
+import sys
 from collections import Counter
 
 import pytest
@@ -159,6 +160,34 @@ def test_chunks_that_are_not_remembered(spark, tokenizers, monkeypatch):
     assert len(known.known) == 3
 
 
+def test_chunks_are_aligned_together(tokenizers):
+    """Like the plain way, also beside chunks that one side doesn't give back, in few calls."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{x}{y}{z}é{x}" for x in letters for y in letters for z in letters[:8]]
+    words[::89] = [f"{word}▁" for word in words[::89]]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, len(words), 60)]
+    texts += [words[i] for i in range(0, len(words), 89)]
+    known = token_alignment.Aligner(vocabulary(LETTERS), vocabulary(PIECES), remembered=2_000)
+    calls = Counter()
+    import pyarrow as pa
+
+    rows = pa.array(texts, pa.string())
+    sys.setprofile(lambda frame, event, what: calls.update([event]))
+    columns, _, _ = token_alignment.align_texts(rows, known)
+    sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 10 * len(set(words))
+    for _ in range(2):  # again from what is remembered, and in part anew
+        found = list(zip(*[c.to_pylist() for c in columns[:5]], strict=True))
+        for (*numbers, groups), text in zip(found, texts, strict=True):
+            expected = plainly([("", text)], tokenizers)[0]
+            assert tuple(numbers) == expected[1:5]
+            digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+            assert digest == expected[7]
+        columns, _, _ = token_alignment.align_texts(rows, known)
+    assert any(n[0] == 0 for n in found) and any(n[0] > 0 for n in found)
+    assert len(known.known) == 2_000
+
+
 def test_query(spark, sf_dir, tokenizers):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = queries.op13_token_alignment(spark, sf_dir).collect()
