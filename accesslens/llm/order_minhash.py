@@ -18,8 +18,9 @@ it choose a new hub among themselves, until hubs match few or ``rounds`` have pa
 entries are of one component then; of the others all pairs of nodes in different components
 are compared that weren't, if their sizes allow for 0.8. Where an entry has many nodes, these
 pairs are found by the rarest k-mers of its texts: two that match in 0.8 of all share one of the
-rarest fifth, and have enough k-mers behind it. So a group of copies isn't paired with itself, nor
-are texts that share a passage and little else, and no link between texts that share an
+rarest fifth, and have enough k-mers behind it. Where that are many texts, k-mers are counted
+in cells first, so that only the rarest fifth is listed. So a group of copies isn't paired with
+itself, nor are texts that share a passage and little else, and no link between texts that share an
 entry is lost. Classes are the connected components of the links.
 """
 
@@ -47,6 +48,10 @@ ROUNDS = 6
 WORTH = 10
 #: Nodes of an entry of several components up to which all its pairs are compared.
 FEW = 16
+#: K-mers of larger entries up to which all are listed; more are counted in cells first.
+LISTED = 100_000
+#: Cells are counted in blocks of 2 ** BLOCK_BITS; there are at most 2 ** MOST_BITS, a byte each.
+BLOCK_BITS, MOST_BITS = 16, 24
 
 # Multipliers and shifts of a well-known 64-bit mixing function.
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -387,46 +392,147 @@ def _open_pairs(
     )
     mixed = mixed.where("a <> b").select("key", (F.col("n") <= FEW).alias("few"))
     nodes = written(nodes.join(mixed, "key"), "mixed")
-    large = nodes.where("NOT few").select("node", "component").distinct()
-    rare = written(_rare_kmers(large, texts, threshold), "rare")
+    large = nodes.where("NOT few").select("node", "component", "size").distinct()
+    n_kmers = large.agg(F.sum("size")).first()[0] or 0
+    large = large.select("node", "component")
+    cells = _cells(large, texts, n_kmers) if n_kmers > LISTED else None
+    rare = written(_rare_kmers(large, texts, threshold, cells), "rare")
     few = nodes.where("few").select("key", "node", "component", "size")
     return _across_few(few, threshold).unionByName(_across(rare, threshold)).distinct()
 
 
-def _rare_kmers(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _with_texts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    # by node, or the tasks that read the texts would have very different numbers of them
+    return nodes.join(texts, "node").select("node", "component", "text").repartition("node")
+
+
+def _cells(nodes: DataFrame, texts: DataFrame, n_kmers: int) -> np.ndarray:
+    """How rare k-mers are, a byte for each cell that their first bits name.
+
+    0 if all k-mers of the cell are of one component, else ten times the binary logarithm
+    of their number. Tasks add up what they read, blocks of cells are then added up by
+    themselves. About four cells for each k-mer, until there are 2 ** ``MOST_BITS``; k-mers
+    that meet in a cell only seem more frequent than they are.
+    """
+    bits = min(max((4 * n_kmers).bit_length(), BLOCK_BITS), MOST_BITS)
+    blocks = np.arange(1 << (bits - BLOCK_BITS), dtype=np.int64)
+
+    def added(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        cells, components = map(np.concatenate, zip(*found, strict=True))
+        order = np.argsort(cells, kind="stable")
+        cells, components = cells[order], components[order]
+        starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
+        n = np.diff(np.concatenate((starts, [len(cells)])))
+        cells = cells[starts]
+        columns = [
+            cells & ((1 << BLOCK_BITS) - 1),
+            n,
+            np.minimum.reduceat(components, starts),
+            np.maximum.reduceat(components, starts),
+        ]
+        held = np.unique(cells >> BLOCK_BITS)
+        offsets = np.append(np.searchsorted(cells, held << BLOCK_BITS), len(cells))
+        offsets = pa.array(offsets, pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c, pa.int64())) for c in columns]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int64()), *lists], names=["block", "cells", "n", "low", "high"]
+        )
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        found, n = [], 0
+        for batch in batches:
+            rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for component, text in rows:
+                cells = labelled(hasher.kmers(text)) >> np.uint64(64 - bits)
+                if len(cells):
+                    same = np.full(len(cells), component, np.int64)
+                    found.append((cells.astype(np.int64), same))
+                    n += len(cells)
+                if n >= 250_000:
+                    yield added(found)
+                    found, n = [], 0
+        if found:
+            yield added(found)
+
+    def block(rows: pa.Table) -> pa.Table:
+        cells, n, low, high = (
+            np.concatenate([c.flatten().to_numpy() for c in rows.column(name).chunks])
+            for name in ("cells", "n", "low", "high")
+        )
+        size = 1 << BLOCK_BITS
+        total = np.bincount(cells, weights=n, minlength=size)
+        least = np.full(size, np.iinfo(np.int64).max)
+        most = np.full(size, np.iinfo(np.int64).min)
+        np.minimum.at(least, cells, low)
+        np.maximum.at(most, cells, high)
+        several = least < most
+        how_rare = np.zeros(size, np.uint8)
+        how_rare[several] = np.minimum(10 * np.log2(total[several]), 255).astype(np.uint8)
+        return pa.table({"block": rows.column("block")[:1], "how_rare": [how_rare.tobytes()]})
+
+    lists = ", ".join(f"{name} array<bigint>" for name in ("cells", "n", "low", "high"))
+    parts = _with_texts(nodes, texts).mapInArrow(over, f"block bigint, {lists}")
+    found = parts.groupBy("block").applyInArrow(block, "block bigint, how_rare binary")
+    table = np.zeros((len(blocks), 1 << BLOCK_BITS), np.uint8)
+    for at, how_rare in found.collect():  # 16 MB at most
+        table[at] = np.frombuffer(how_rare, np.uint8)
+    return table.reshape(-1)
+
+
+def _rare_kmers(
+    nodes: DataFrame, texts: DataFrame, threshold: float, cells: np.ndarray | None = None
+) -> DataFrame:
     """(key, node, component, size, rest): the rarest k-mers of each text that others have.
 
     Texts are alike if so many k-mers match that at most n - ceil(threshold * n) of one's
     n don't; so of the n - ceil(threshold * n) + 1 that come first in any one order of all
     k-mers, both have at least one in common. Those of a single component come first here, then
     rare ones. ``rest`` is the number of the text's k-mers from this one on in that order.
+    If ``cells`` tell how rare k-mers are, the order is theirs and only the first are listed.
     """
+    known = None if cells is None else nodes.sparkSession.sparkContext.broadcast(cells)
+    bits = 0 if cells is None else len(cells).bit_length() - 1
+
+    def listed(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """K-mers that may be among the first and, if that is known, ``rest``."""
+        if known is None:
+            return kmers.view(np.int64), None
+        n = len(kmers)
+        how_rare = known.value[(kmers >> np.uint64(64 - bits)).astype(np.int64)]
+        first = n - math.ceil(n * threshold - 1e-9) + 1
+        order = np.lexsort((kmers.view(np.int64), how_rare))[:first]
+        places = np.flatnonzero(how_rare[order])  # those of one component join nothing
+        return kmers[order[places]].view(np.int64), n - places
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             rows = zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
             for node, component, text in rows:
-                kmers = labelled(hasher.kmers(text)).view(np.int64)
+                kmers = labelled(hasher.kmers(text))
                 n = len(kmers)
-                for at in range(0, n, 100_000):
+                kmers, rest = listed(kmers)
+                for at in range(0, len(kmers), 100_000):
                     part = kmers[at : at + 100_000]
                     same = [np.full(len(part), x, np.int64) for x in (node, component, n)]
+                    behind = [None] * len(part) if rest is None else rest[at : at + 100_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (part, *same)],
-                        names=["key", "node", "component", "size"],
+                        [*[pa.array(x) for x in (part, *same)], pa.array(behind, pa.int64())],
+                        names=["key", "node", "component", "size", "rest"],
                     )
 
-    schema = "key bigint, node bigint, component bigint, size bigint"
-    # by node, or the tasks that read the texts would have very different numbers of them
-    kmers = nodes.join(texts, "node").select("node", "component", "text").repartition("node")
-    kmers = written(kmers.mapInArrow(over, schema), "kmers")
+    schema = "key bigint, node bigint, component bigint, size bigint, rest bigint"
+    kmers = written(_with_texts(nodes, texts).mapInArrow(over, schema), "kmers")
     counts = kmers.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")
     )
     counts = counts.where("a <> b").select("key", "n")
-    # k-mers of one component only join nothing: they come first, and only their number matters
     ranked = kmers.join(counts, "key")
+    if known is not None:
+        known.unpersist()
+        return ranked.select("key", "node", "component", "size", "rest")
+    # k-mers of one component only join nothing: they come first, and only their number matters
     own = Window.partitionBy("node")
     before = F.col("size") - F.count("*").over(own)
     place = before + F.row_number().over(own.orderBy("n", "key"))

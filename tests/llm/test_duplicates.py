@@ -208,6 +208,69 @@ def test_rare_kmers_find_all_pairs_that_are_alike(spark):
     assert len(found) < 3 * len(alike)
 
 
+@pytest.mark.parametrize("bits", [16, 6, 1])
+def test_counted_cells_lose_no_pair_that_is_alike(spark, monkeypatch, bits):
+    """Also where so few cells are counted that most k-mers share theirs."""
+    monkeypatch.setattr(order_minhash, "BLOCK_BITS", min(bits, 4), raising=False)
+    monkeypatch.setattr(order_minhash, "MOST_BITS", bits, raising=False)
+    rng = random.Random(16)
+    passage, texts = _words(rng, 60), ["one two", ""]
+    for own in [0, 0, 1, 2, 4, 6, 8, 9, 10, 11, 12, 13, 14, 16, 20, 30, 60, 200] * 3:
+        words = _edited(rng, passage, rng.choice([0, 1])) + _words(rng, own)
+        texts.append(" ".join(words[rng.choice([0, 0, 3]) :]))
+    texts = sorted(set(texts))
+    hasher = order_minhash.Hasher()
+    kmers = [order_minhash.labelled(hasher.kmers(t)) for t in texts]
+    nodes = [order_minhash.node_of(t) for t in texts]
+    component = [n if i % 3 else nodes[0] for i, n in enumerate(nodes)]
+    alike = {
+        tuple(sorted((nodes[i], nodes[j])))
+        for i in range(len(texts)) for j in range(i)
+        if component[i] != component[j]
+        and order_minhash.similarity(kmers[i], kmers[j], 0.8) > 0
+    }
+    table = spark.createDataFrame(list(zip(nodes, component, strict=True)), "node long, component long")
+    stored = spark.createDataFrame(list(zip(nodes, texts, strict=True)), "node long, text string")
+    cells = order_minhash._cells(table, stored, sum(map(len, kmers)))
+    assert len(cells) == 2 ** min(bits, (4 * sum(map(len, kmers))).bit_length())
+    rare = order_minhash._rare_kmers(table, stored, 0.8, cells)
+    found = [tuple(r) for r in order_minhash._across(rare, 0.8).collect()]
+    assert len(found) == len(set(found)) and alike <= set(found) and len(alike) > 30
+
+
+def test_few_kmers_of_texts_around_a_passage_are_listed(spark, monkeypatch):
+    """Those of near copies and of texts that share a passage; classes are whole."""
+    monkeypatch.setattr(order_minhash, "LISTED", 0, raising=False)
+    rng = random.Random(17)
+    passage, base = _words(rng, 40), _words(rng, 100)
+    rows = [base[:60] + passage]
+    rows += [_edited(rng, rows[0], 2) for _ in range(60)]
+    for _ in range(60):
+        words = _words(rng, 60) + passage
+        rows += [words, [*words[:50], *_words(rng, 6), *words[56:]]]
+    rows = list(enumerate(map(" ".join, rows)))
+    size = len(order_minhash.Hasher().kmers(rows[0][1]))
+    found = [(i, order_minhash.node_of(t), [1], size) for i, t in rows]
+    found = spark.createDataFrame(found, "doc_id long, node long, keys array<long>, size long")
+    listed, real = [], order_minhash.written
+
+    def kept(df, purpose, *args, **options):
+        table = real(df, purpose, *args, **options)
+        if purpose == "kmers":
+            listed.append(table.count())
+        return table
+
+    monkeypatch.setattr(order_minhash, "written", kept)
+    edges = order_minhash.links(found, _table(spark, rows), 0.8, order_minhash.ROUNDS)
+    parts = dict(map(tuple, order_minhash.components(edges).collect()))
+    classes = _brute_classes(rows)
+    nodes = {i: order_minhash.node_of(t) for i, t in rows}
+    assert len(set(classes.values())) == 61
+    assert all(parts.get(nodes[i]) == parts.get(nodes[c], -1) for i, c in classes.items())
+    assert len({parts[n] for n in nodes.values()}) == 61
+    assert len(listed) == 1 and listed[0] < size * len(rows) / 4
+
+
 def test_order_counts():
     rng = random.Random(9)
     words = _words(rng, 400)
