@@ -7,8 +7,11 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from accesslens.session import new_folder
 
@@ -32,6 +35,17 @@ def written(
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def small_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+    """A table of a few rows that the driver has.
+
+    Handed over as Arrow: from Python rows Spark would make it in Python workers of their own
+    on the executors, which then stay there with their memory.
+    """
+    fields = StructType.fromDDL(schema)
+    table = [dict(zip(fields.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(table, to_arrow_schema(fields)), fields)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores in front if ``df`` has such a column."""
     taken = {column.lower() for column in df.columns}

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import fresh, n_words, written
+from accesslens.llm.common import fresh, n_words, small_table, written
 
 MAX_PATTERNS = 50_000
 CLOSING = 64  # documents behind the cut of a pattern that may close the gap
@@ -189,7 +189,7 @@ def plan(
             sizes[p] // LARGE,
             rest[p] - sum(key["size"] for key in chosen[p]),
             max(1, int(r["n"] ** 0.5)),
-            chosen[p],
+            [key.asDict() for key in chosen[p]],
         )
         for p, r in patterns.items()
     ]
@@ -197,14 +197,14 @@ def plan(
         "members array<string>, copies bigint, most_small bigint, rest bigint, "
         "buckets bigint, chosen array<struct<h:string,doc_id:bigint,size:bigint>>"
     )
-    wanted = documents.sparkSession.createDataFrame(rows, schema)
+    wanted = small_table(documents.sparkSession, rows, schema)
     return sized, _cuts(sized, wanted), targets
 
 
 def _large(sized: DataFrame, most_small: dict[Pattern, int]) -> dict[Pattern, list]:
     """Keys of the large documents of each pattern, in order; fewer than LARGE each."""
     rows = [(list(p), n) for p, n in most_small.items()]
-    known = sized.sparkSession.createDataFrame(rows, "members array<string>, most bigint")
+    known = small_table(sized.sparkSession, rows, "members array<string>, most bigint")
     found = sized.join(F.broadcast(known), "members").where("size > most")
     keys = defaultdict(list)
     for row in found.select("members", "key").collect():
@@ -346,7 +346,7 @@ def mix_report(
         F.sum("size").alias("source_size")
     )
     rows = [(s, float(t)) for s, t in targets.items()]
-    quotas = documents.sparkSession.createDataFrame(rows, "source string, target double")
+    quotas = small_table(documents.sparkSession, rows, "source string, target double")
     about = sizes.join(quotas, sizes["source"].eqNullSafe(quotas["source"])).select(
         F.array(sizes["source"]).alias("members"), "source_size", "target"
     )

@@ -27,7 +27,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import fresh, text_or_empty, written
+from accesslens.llm.common import fresh, small_table, text_or_empty, written
 
 MIN_CHARS = 1
 MIN_WORDS = 5
@@ -69,7 +69,7 @@ def _ties(documents: DataFrame) -> DataFrame | None:
     for size in ordered.groupBy(part.alias("part")).count().orderBy("part").collect():
         starts.append((size.part, start))
         start += size["count"]
-    offsets = F.broadcast(spark.createDataFrame(starts, "part bigint, start bigint"))
+    offsets = F.broadcast(small_table(spark, starts, "part bigint, start bigint"))
     numbered = ordered.withColumn("part", part).join(offsets, "part")
     row = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     return written(numbered.select("id", "t1", "t2", (F.col("start") + row).alias("tie")), "ties")

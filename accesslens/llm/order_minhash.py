@@ -50,6 +50,8 @@ WORTH = 10
 FEW = 16
 #: K-mers of larger entries up to which all are listed; more are counted in cells first.
 LISTED = 100_000
+#: Links in a file of those that are written again and again.
+LINKS = 20_000
 #: Cells are counted in blocks of 2 ** BLOCK_BITS; there are at most 2 ** MOST_BITS, a byte each.
 BLOCK_BITS, MOST_BITS = 16, 24
 
@@ -78,7 +80,7 @@ _ORDER = _constants(64, 3)
 class Hasher:
     """K-mers of texts; remembers words' hashes."""
 
-    def __init__(self, remembered: int = 300_000):
+    def __init__(self, remembered: int = 100_000):
         import xxhash
 
         self.hash = xxhash.xxh3_64_intdigest
@@ -319,7 +321,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = mark(pairs)
     while True:
-        pairs = written(small(large(pairs)), "edges")
+        # each file costs an executor some processes, and links are few: there are never more
+        pairs = written(small(large(pairs)).coalesce(1 + before[1] // LINKS), "edges")
         now = mark(pairs)
         if now == before:
             break

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm import tokens
-from accesslens.llm.common import fresh, written
+from accesslens.llm.common import fresh, small_table, written
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 CLASSES = 128  # of lengths; patterns are sums of them
@@ -328,10 +328,11 @@ def pack_pieces(pieces: DataFrame, max_tokens: int) -> DataFrame:
     names = ("buckets", "bucket", "within", "before", "rank", "slot_length")
     buckets, bucket, within, before, rank, slot_length = (fresh(pieces, f"rank_{n}") for n in names)
     slot = [fresh(pieces, f"slot_{n}") for n in ("from", "to", "each", "sequence", "offset")]
-    places = spark.createDataFrame(
-        rows, ", ".join(f"{name} bigint" for name in (slot_length, *slot))
+    places = small_table(
+        spark, rows, ", ".join(f"{name} bigint" for name in (slot_length, *slot))
     )
-    dealt = spark.createDataFrame(
+    dealt = small_table(
+        spark,
         [(length, n // RANK_ROWS + 1) for length, n in histogram.items()],
         f"length bigint, {buckets} bigint",
     )

@@ -28,10 +28,23 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: Chunks a Python worker remembers and bytes of text it takes at once when it encodes: less
 #: than usual, as the stages before have grown the executor it shares.
 REMEMBERED, TOGETHER = 100_000, 2_000_000
+#: Documents that are handed to a Python worker at once: both sides hold a batch several times.
+BATCH_ROWS, BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches for Python have ``BATCH_ROWS`` rows at most; 0 is no limit.
+
+    No result depends on it. ``run`` sets back what was set; stages that are called by
+    themselves leave it, as they return tables that are computed later.
+    """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression bands and base rules keep."""
+    small_batches(spark)
     return compression_bands.reject(docs)
 
 
@@ -46,6 +59,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
+    small_batches(spark)
     return order_minhash.keep_one(docs)
 
 
@@ -57,6 +71,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences."""
+    small_batches(spark)
     words = vocabulary("word_bpe_49k.json")
     memory = {"remembered": REMEMBERED, "together": TOGETHER}
     return pattern_packing.pack_documents(docs, words, MAX_TOKENS, END_ID, **memory)
@@ -78,8 +93,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written and read again."""
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    before = spark.conf.get(BATCH_SETTING)
+    try:
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
 
 

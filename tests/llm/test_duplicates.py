@@ -302,6 +302,29 @@ def test_components_of_long_chains(spark):
     assert {found[i] for i in (100, 200, 300)} == {100}
 
 
+def test_links_are_written_to_few_files(spark, monkeypatch):
+    files, write = [], order_minhash.written
+
+    def written(df, purpose):
+        table = write(df, purpose)
+        files.append((table.count(), len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(order_minhash, "written", written)
+    monkeypatch.setattr(order_minhash, "LINKS", 100)
+    table = spark.range(400).selectExpr("id - id % 5 AS u", "id AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        found = dict(map(tuple, order_minhash.components(table).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {i: i - i % 5 for i in range(400)}
+    assert files[0][0] == 320 and files[0][1] > 4
+    assert all(n <= 320 and parts <= 4 for n, parts in files[1:]) and len(files) > 1
+
+
 # -- lines -------------------------------------------------------------------------------
 
 

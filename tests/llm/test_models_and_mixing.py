@@ -498,6 +498,53 @@ def test_pipeline_stages(spark, sf_dir):
     assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r.doc_id for r in docs.collect())
 
 
+def test_pipeline_hands_over_small_batches(spark, sf_dir, monkeypatch):
+    """A session's larger batches are made smaller, its smaller ones stay; run() sets back."""
+    setting = corpus_pipeline.BATCH_SETTING
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'a b c' AS text").coalesce(1)
+
+    def batches():
+        def sizes(found):
+            for batch in found:
+                yield batch.select([0]).slice(0, 1)
+
+        return docs.mapInArrow(sizes, "doc_id bigint").count()
+
+    stages = dict(corpus_pipeline.STAGES)
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "10000")
+        assert batches() == 1
+        for name in ("quality rules", "near-dedup", "packing"):
+            for given, then in (("10000", 4), ("0", 4), ("500", 8)):
+                spark.conf.set(setting, given)
+                stages[name](spark, docs, sf_dir)
+                assert batches() == then, (name, given)
+    finally:
+        spark.conf.set(setting, before)
+    seen = []
+    monkeypatch.setattr(
+        corpus_pipeline,
+        "STAGES",
+        [("quality rules", lambda *a: seen.append(corpus_pipeline.quality(*a)) or seen[-1])],
+    )
+    corpus_pipeline.run(spark, sf_dir).count()
+    assert seen and spark.conf.get(setting) == before
+
+
+def test_small_tables_need_no_python_worker(spark):
+    """Spark makes a table of Python rows in workers; one that comes as Arrow is a local one."""
+    schema = "members array<string>, n bigint, chosen array<struct<h:string,doc_id:bigint>>"
+    rows = [([None], 1, [{"h": "x", "doc_id": None}]), (["a", "b"], None, [])]
+    for some in (rows, []):
+        found = common.small_table(spark, some, schema)
+        plain = spark.createDataFrame(some, schema)
+        assert found.schema == plain.schema
+        assert found.collect() == plain.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
 def test_pipeline_of_no_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
